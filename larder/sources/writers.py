@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def write_dated(df: DataFrame, directory: str, name: str, day: str | None = None) -> str:
@@ -21,7 +21,12 @@ def write_parquet(df: DataFrame, path: str) -> str:
 
 
 def write_by_country(
-    df: DataFrame, path: str, only_present: bool = False, files_per_country: int = 8
+    df: DataFrame,
+    path: str,
+    key: str = "score_country",
+    spread_by: tuple[str, ...] = ("recipeid", "score_month"),
+    only_present: bool = False,
+    files_per_country: int = 8,
 ) -> str:
     """One directory per country.
 
@@ -30,12 +35,12 @@ def write_by_country(
     """
     mode = "dynamic" if only_present else "static"
     # A hash of the row's own key picks the file, so a retried task writes the same rows.
-    spread = F.pmod(F.xxhash64("recipeid", "score_month"), F.lit(files_per_country))
+    spread = F.pmod(F.xxhash64(*spread_by), F.lit(files_per_country))
     (
-        df.repartition("score_country", spread)
+        df.repartition(key, spread)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
-        .partitionBy("score_country")
+        .partitionBy(key)
         .parquet(path)
     )
     return path
@@ -50,15 +55,16 @@ def write_csv(df: DataFrame, path: str) -> str:
         .option("escape", '"')
         .option("quoteAll", True)
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
     return path
 
 
-def write_sql_model(df_sql: str, spark, path: str) -> str:
+def write_sql_model(spark: SparkSession, query: str, path: str) -> str:
     """Run a SQL model and keep its rows as parquet at ``path``."""
-    spark.sql(df_sql).write.mode("overwrite").parquet(path)
-    return path
+    return write_parquet(spark.sql(query), path)
 
 
 def write_sample(df: DataFrame, path: str, key: str, rows: int = 100) -> str:
