@@ -75,7 +75,7 @@ ARRAYS = (
 # =====================================================================================
 
 
-@query("A1_latest_snapshot", "SELECT c_custkey, c_name, c_nationkey FROM customer")
+@query("A1_latest_snapshot", "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer")
 def _(w):
     folder = new_path(w.spark, "snapshots")
     rows = w.driver("customer").select("c_custkey", "c_name", "c_nationkey")
@@ -241,7 +241,7 @@ def _(w):
 
 
 @query("B8_first_per_key", """
-SELECT l_partkey, l_orderkey, l_linenumber, l_suppkey FROM lineitem QUALIFY row_number() OVER (
+SELECT l_partkey, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_suppkey FROM lineitem QUALIFY row_number() OVER (
  PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice)=1""")
 def _(w):
     order = [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice")]
@@ -1051,7 +1051,7 @@ _PRODUCE = "IN ('fruit','vegetable')"
 
 
 @query("H29_option_lists", using("season recipe_map production", f"""
-SELECT list, turn, pos, name FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY turn, pos, name) AS k FROM
+SELECT list, CAST(turn AS BIGINT) AS turn, pos, name FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY turn, pos, name) AS k FROM
  (SELECT *, {singular('name')} AS key FROM
   (SELECT 'seasonal' AS list, 0 AS turn, row_number() OVER (ORDER BY name) AS pos, name FROM
     (SELECT DISTINCT product_name AS name FROM season WHERE country='{S.COUNTRY}' AND month_number={S.MONTH})
@@ -1199,7 +1199,8 @@ def _(w):
 
 
 @query("I7_profile", """
-SELECT * FROM (VALUES (0,'event_id'),(1,'ts'),(2,'user_id'),(3,'event_type'),(4,'value'),(5,'props')) AS t(position,"column")
+SELECT CAST(position AS BIGINT) AS position, "column", rows, nulls FROM
+ (VALUES (0,'event_id'),(1,'ts'),(2,'user_id'),(3,'event_type'),(4,'value'),(5,'props')) AS t(position,"column")
 JOIN (SELECT unnest(range(0,6)) AS position, count(*) AS rows, unnest([count(*) FILTER (event_id IS NULL),
  count(*) FILTER (ts IS NULL), count(*) FILTER (user_id IS NULL), count(*) FILTER (event_type IS NULL),
  count(*) FILTER (value IS NULL), count(*) FILTER (props IS NULL)]) AS nulls FROM events) USING (position)""")

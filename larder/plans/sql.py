@@ -191,7 +191,7 @@ SELECT doc_id AS reviewid, doc_id//2 AS recipeid, CAST(n_chars % 5 + 1 AS DOUBLE
  {cleaned('text')} AS review FROM documents""")
 cte("season", "bronze_season", f"""
 SELECT DISTINCT {keyed('product_name')} AS product_name, {keyed('product_type')} AS product_type,
- {keyed('month')} AS month, m AS month_number, {keyed('country')} AS country,
+ {keyed('month')} AS month, CAST(m AS BIGINT) AS month_number, {keyed('country')} AS country,
  TRUE AS is_in_season, 1e0 AS confidence_score, {keyed('source')} AS source
 FROM bronze_season JOIN (VALUES {", ".join(f"('{k}',{v})" for k, v in K.MONTHS.items())}) AS t(k,m)
  ON k = {keyed('month')}""")
@@ -209,18 +209,22 @@ cte("lexicon", "", "SELECT * FROM " + values(S.LEXICON, "word, valence"))
 
 def _sentiment(name: str, source: str) -> None:
     value = f"v0*(CASE WHEN {_C.format(1)}='no' OR {_C.format(2)}='no' OR ({_C.format(3)}='no' AND {_C.format(1)} IN ('or','nor')) THEN {K.NEGATION_FACTOR}e0 ELSE 1e0 END)"
-    cte(f"{name}_words", source, f"""
-SELECT reviewid, recipeid, unnest(string_split(review,' ')) AS w0,
- generate_subscripts(string_split(review,' '),1)-1 AS pos,
- CASE WHEN list_contains(string_split(review,' '),'{_R.contrast}')
-  THEN list_position(string_split(review,' '),'{_R.contrast}')-1 END AS contrast_at
-FROM {source}""")
-    cte(f"{name}_context", f"{name}_words lexicon", f"""
-SELECT c.*, l0.valence AS v0, l1.valence AS v1, l2.valence AS v2, l3.valence AS v3,
- ln.valence AS vn
-FROM (SELECT *, lag(w0,1) OVER k AS w1, lag(w0,2) OVER k AS w2, lag(w0,3) OVER k AS w3,
-   lead(w0,1) OVER k AS wn FROM {name}_words WINDOW k AS (PARTITION BY reviewid ORDER BY pos)) c
-JOIN lexicon l0 ON l0.word=w0 LEFT JOIN lexicon l1 ON l1.word=w1
+    cte(f"{name}_lists", source, f"""
+SELECT reviewid, recipeid, string_split(review,' ') AS list FROM {source}""")
+    cte(f"{name}_contrast", f"{name}_lists", f"""
+SELECT *, nullif(coalesce(list_position(list,'{_R.contrast}'),0),0)-1 AS contrast_at
+FROM {name}_lists""")
+    cte(f"{name}_words", f"{name}_contrast", f"""
+SELECT reviewid, recipeid, contrast_at, unnest(list) AS w0, unnest(range(0,len(list))) AS pos
+FROM {name}_contrast""")
+    cte(f"{name}_near", f"{name}_words", f"""
+SELECT *, lag(w0,1) OVER k AS w1, lag(w0,2) OVER k AS w2, lag(w0,3) OVER k AS w3,
+ lead(w0,1) OVER k AS wn FROM {name}_words WINDOW k AS (PARTITION BY reviewid ORDER BY pos)""")
+    cte(f"{name}_found", f"{name}_near lexicon", f"""
+SELECT c.*, valence AS v0 FROM {name}_near c JOIN lexicon ON word=w0""")
+    cte(f"{name}_context", f"{name}_found lexicon", f"""
+SELECT c.*, l1.valence AS v1, l2.valence AS v2, l3.valence AS v3, ln.valence AS vn
+FROM {name}_found c LEFT JOIN lexicon l1 ON l1.word=w1
 LEFT JOIN lexicon l2 ON l2.word=w2 LEFT JOIN lexicon l3 ON l3.word=w3
 LEFT JOIN lexicon ln ON ln.word=wn""")
     cte(f"{name}_one", f"{name}_context", f"SELECT *, {value} AS a0 FROM {name}_context")
@@ -292,7 +296,7 @@ SELECT recipeid, name, recipecategory, recipeingredientparts, recipeinstructions
 
 # --- Matching ----------------------------------------------------------------------
 cte("vocabulary", "season production", """
-SELECT term, min(p) AS priority, CASE WHEN min(p)=0 THEN 'eufic' ELSE 'faostat' END AS source
+SELECT term, CAST(min(p) AS BIGINT) AS priority, CASE WHEN min(p)=0 THEN 'eufic' ELSE 'faostat' END AS source
 FROM (SELECT product_name AS term, 0 AS p FROM season UNION ALL
       SELECT product_name, 1 FROM production) GROUP BY 1""")
 
@@ -388,7 +392,7 @@ cte("features", "inverted", "SELECT recipeid, " + ", ".join(
     scaled(c, f"(SELECT min({c}) FROM inverted)", f"(SELECT max({c}) FROM inverted)") + f" AS {c}"
     for c in K.SEGMENT_FEATURES) + " FROM inverted")
 cte("assigned", "features", """
-SELECT f.*, CAST(regexp_extract(p_brand,'(\\d+)',1) AS INTEGER)%5 AS cluster_id
+SELECT f.*, CAST(regexp_extract(p_brand,'(\\d+)',1) AS BIGINT)%5 AS cluster_id
 FROM features f JOIN part ON p_partkey=recipeid""")
 cte("profile_means", "assigned", "SELECT cluster_id, " + ", ".join(
     f"{mean(c, 9)} AS {c}" for c in K.SEGMENT_FEATURES
