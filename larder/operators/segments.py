@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from multiprocessing.pool import ThreadPool
+
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -12,6 +14,7 @@ from larder import constants as K
 from larder.functions import numeric
 
 FEATURES = list(K.SEGMENT_FEATURES)
+PARALLEL_FITS = 8
 
 
 def feature_join(
@@ -76,21 +79,35 @@ def as_vectors(features: DataFrame, columns: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=columns, outputCol="features").transform(features)
 
 
+def fit_all(vectors: DataFrame, settings: list[tuple[int, int]]) -> list[KMeansModel]:
+    """Models for (k, seed) pairs. The fits are independent Spark jobs, submitted together."""
+    session = vectors.sparkSession
+
+    def fit(setting: tuple[int, int]) -> KMeansModel:
+        return KMeans(k=setting[0], seed=setting[1]).fit(vectors)
+
+    with ThreadPool(min(PARALLEL_FITS, len(settings))) as pool:
+        return pool.map(inheritable_thread_target(session)(fit), settings)
+
+
+def cost(model: KMeansModel) -> float:
+    return float(model.summary.trainingCost)
+
+
 def fit_best(vectors: DataFrame, k: int, seed: int, starts: int) -> KMeansModel:
     """Model with the lowest cost over several seeds."""
-    fits = (KMeans(k=k, seed=seed + i).fit(vectors) for i in range(starts))
-    return min(fits, key=lambda model: model.summary.trainingCost)
+    return min(fit_all(vectors, [(k, seed + i) for i in range(starts)]), key=cost)
 
 
 def elbow(vectors: DataFrame, starts: int = 1) -> DataFrame:
     """Rows (k, inertia) for the usual range of k."""
     cached = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = [
-        (k, float(fit_best(cached, k, K.SEGMENT_SEED, starts).summary.trainingCost))
-        for k in K.ELBOW_RANGE
-    ]
+    settings = [(k, K.SEGMENT_SEED + i) for k in K.ELBOW_RANGE for i in range(starts)]
+    best: dict[int, float] = {}
+    for (k, _), model in zip(settings, fit_all(cached, settings)):
+        best[k] = min(cost(model), best.get(k, float("inf")))
     cached.unpersist()
-    return vectors.sparkSession.createDataFrame(rows, "k int, inertia double")
+    return vectors.sparkSession.createDataFrame(sorted(best.items()), "k int, inertia double")
 
 
 def centers_table(spark, centers) -> DataFrame:
@@ -113,8 +130,10 @@ def distances(assigned: DataFrame, centers: DataFrame, columns: list[str]) -> Da
 def cluster(features: DataFrame, columns: list[str], k: int = K.SEGMENT_COUNT,
             seed: int = K.SEGMENT_SEED, starts: int = K.SEGMENT_STARTS) -> DataFrame:
     """Cluster id and distance for each row; initial centres differ from other libraries."""
-    vectors = as_vectors(features, columns).persist(StorageLevel.MEMORY_AND_DISK)
-    model = fit_best(vectors, k, seed, starts)
+    vectors = as_vectors(features, columns)
+    cached = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    model = fit_best(cached, k, seed, starts)
+    cached.unpersist()
     assigned = model.transform(vectors).withColumnRenamed("prediction", "cluster_id")
     centers = centers_table(features.sparkSession, model.clusterCenters())
     return distances(assigned.drop("features"), centers, columns)

@@ -15,6 +15,7 @@ from larder import constants as K
 from larder.functions import numeric, text
 
 UNIT_PLACES = 9
+LEXICON_LIMIT = 50_000
 
 
 @dataclass(frozen=True)
@@ -84,15 +85,25 @@ def adjusted_valence(rules: SentimentRules) -> Column:
 
 
 def word_contexts(
-    reviews: DataFrame, keys: list[str], review: str, rules: SentimentRules
+    reviews: DataFrame,
+    keys: list[str],
+    review: str,
+    rules: SentimentRules,
+    known: list[str] | None = None,
 ) -> DataFrame:
-    """One row per word with its neighbours; a review without words keeps one row."""
+    """One row per word with its neighbours; a review without rows keeps one.
+
+    ``known`` restricts the rows to these words before anything is exploded.
+    """
     tokens = F.col("_words")
+    places = F.when(F.size(tokens) > 0, F.sequence(F.lit(0), F.size(tokens) - 1))
+    if known is not None:
+        places = F.filter(places, lambda i: F.get(tokens, i).isin(known))
     contexts = F.transform(
-        tokens,
-        lambda word, i: F.struct(
+        places,
+        lambda i: F.struct(
             i.alias("pos"),
-            word.alias("w0"),
+            F.get(tokens, i).alias("w0"),
             F.get(tokens, i - 1).alias("w1"),
             F.get(tokens, i - 2).alias("w2"),
             F.get(tokens, i - 3).alias("w3"),
@@ -110,6 +121,12 @@ def word_contexts(
     )
 
 
+def known_words(lexicon: DataFrame, limit: int = LEXICON_LIMIT) -> list[str] | None:
+    """Words of a lexicon of bounded size, or None when it is larger than that."""
+    rows = lexicon.select("word").limit(limit + 1).collect()
+    return [row[0] for row in rows] if len(rows) <= limit else None
+
+
 def score_reviews(
     reviews: DataFrame,
     lexicon: DataFrame,
@@ -117,15 +134,20 @@ def score_reviews(
     keys: tuple[str, ...] = ("reviewid", "recipeid"),
     review: str = "review",
 ) -> DataFrame:
-    """Score in [0, 100] per review; null or blank text scores exactly 50."""
+    """Score in [0, 100] per review; null or blank text scores exactly 50.
+
+    Few words of a text are in the lexicon. A lexicon of ordinary size becomes a set inside the
+    word filter, so only its hits are exploded; a larger one is joined with all words instead.
+    """
     entries = lexicon.select(F.col("word"), F.col("valence").cast("double").alias("valence"))
 
     def looked_up(df: DataFrame, word: str, value: str) -> DataFrame:
         side = entries.select(F.col("word").alias(word), F.col("valence").alias(value))
         return df.join(side, word, "left")
 
-    rows = looked_up(word_contexts(reviews, list(keys), review, rules), "w0", "v0")
-    # Most words carry no valence: drop them here, but keep one row per review.
+    contexts = word_contexts(reviews, list(keys), review, rules, known_words(lexicon))
+    rows = looked_up(contexts, "w0", "v0")
+    # Words without valence are dropped here, but one row per review is kept.
     rows = rows.where(F.col("v0").isNotNull() | F.coalesce(F.col("pos") == 0, F.lit(True)))
     for word, value in (("w1", "v1"), ("w2", "v2"), ("w3", "v3"), ("wn", "vn")):
         rows = looked_up(rows, word, value)

@@ -5,11 +5,13 @@ Each function returns a DataFrame. Fallbacks are decided inside the plan by scal
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from larder import constants as K
 from larder.functions import numeric, text
-from larder.operators.scoring import top
+from larder.operators.scoring import ranked, top
 
 SCORE_COLUMNS = (
     "seasonality_score", "availability_score", "sustainability_mean", "positive_ratio",
@@ -24,33 +26,46 @@ SORT_MODES = {
 }
 
 
+@dataclass(frozen=True)
+class GoldTables:
+    """The Gold tables behind the serving queries."""
+
+    recommendations: DataFrame
+    sustainability: DataFrame
+    clusters: DataFrame
+    recipe_map: DataFrame
+    sentiment: DataFrame | None = None
+
+
+def context_scores(sustainability: DataFrame, country: str, month: int) -> DataFrame:
+    """Scores of one context; both conditions reach the scan as partition and row-group filters."""
+    return sustainability.where(
+        (F.col("score_country") == country.lower().strip()) & (F.col("score_month") == month)
+    ).select("recipeid", *SCORE_COLUMNS)
+
+
 def serving_view(
-    recommendations: DataFrame,
-    sustainability: DataFrame,
-    clusters: DataFrame,
-    recipe_map: DataFrame,
-    country: str,
-    month: int,
-    sentiment: DataFrame | None = None,
+    gold: GoldTables, country: str, month: int, rows: DataFrame | None = None
 ) -> DataFrame:
     """Recommendations with the scores, segment and ingredients for one country and month.
 
-    Country and month reach the scan of the score table as partition and row-group filters.
+    ``rows`` is a short list of recommendations (at most 100, see ``check_limit``). Its ids are
+    broadcast and cut down every other table at its scan, so nothing large is shuffled.
     """
-    scores = sustainability.where(
-        (F.col("score_country") == country.lower().strip()) & (F.col("score_month") == month)
-    ).select("recipeid", *SCORE_COLUMNS)
-    view = (
-        recommendations.join(scores, "recipeid", "left")
-        .join(
-            clusters.select("recipeid", "cluster_id", "cluster_label"), "recipeid", "left"
-        )
-        .join(recipe_map, "recipeid", "left")
-    )
-    if sentiment is not None:
-        view = view.join(
-            sentiment.select("recipeid", "mean_sentiment_score"), "recipeid", "left"
-        )
+    base = gold.recommendations if rows is None else rows
+    sides = [
+        context_scores(gold.sustainability, country, month),
+        gold.clusters.select("recipeid", "cluster_id", "cluster_label"),
+        gold.recipe_map,
+    ]
+    if gold.sentiment is not None:
+        sides.append(gold.sentiment.select("recipeid", "mean_sentiment_score"))
+    ids = None if rows is None else F.broadcast(rows.select("recipeid"))
+    view = base
+    for side in sides:
+        if ids is not None:
+            side = side.join(ids, "recipeid", "left_semi")
+        view = view.join(side, "recipeid", "left")
     return (
         view.na.fill(0.0, subset=list(SCORE_COLUMNS))
         .withColumn("score_country", F.lit(country.lower().strip()))
@@ -58,6 +73,14 @@ def serving_view(
     )
 
 
+def short_list(
+    gold: GoldTables, country: str, month: int, ranked_rows: DataFrame, score: str, limit: int
+) -> DataFrame:
+    """Response for the best rows: rank a narrow table first, join the rest afterwards."""
+    best = top(ranked_rows, score, check_limit(limit)).select(gold.recommendations.columns)
+    return response(ranked(serving_view(gold, country, month, best), score))
+
+
 def statistics(view: DataFrame) -> DataFrame:
     def mean(name: str, places: int = 2) -> Column:
         return numeric.round_half_up(numeric.exact_mean(F.col(name), places), 2)
@@ -88,8 +111,8 @@ def parse_basket(basket: str) -> list[str]:
     return [item.strip() for item in basket.split(",") if item.strip()]
 
 
-def recommendations(view: DataFrame, limit: int = 10) -> DataFrame:
-    return response(top(view, "appeal_score", check_limit(limit)))
+def recommendations(gold: GoldTables, country: str, month: int, limit: int = 10) -> DataFrame:
+    return short_list(gold, country, month, gold.recommendations, "appeal_score", limit)
 
 
 def check_limit(limit: int) -> int:
@@ -103,46 +126,69 @@ def any_row(df: DataFrame, condition: Column) -> Column:
     return df.agg(F.coalesce(F.bool_or(condition), F.lit(False))).scalar()
 
 
-def basket_recommendations(view: DataFrame, basket: str, limit: int = 10) -> DataFrame:
+def basket_recommendations(
+    gold: GoldTables, country: str, month: int, basket: str, limit: int = 10
+) -> DataFrame:
     """Best recipes with a basket hit; all recipes when the basket is empty or never hits."""
     items = parse_basket(basket)
-    rows = view
+    rows = gold.recommendations
     if items:
+        # Only the ids with a hit are joined to the recommendations.
         hit = F.size(text.basket_hits(F.col("matched_ingredients"), items)) > 0
-        rows = view.where(hit | ~any_row(view, hit))
-    return response(top(rows, "appeal_score", check_limit(limit)))
+        found = any_row(gold.recipe_map.join(rows.select("recipeid"), "recipeid", "left_semi"), hit)
+        hits = gold.recipe_map.where(hit).select("recipeid", F.lit(True).alias("_hit"))
+        rows = rows.join(hits, "recipeid", "left").where(F.col("_hit").isNotNull() | ~found)
+    return short_list(gold, country, month, rows, "appeal_score", limit)
 
 
-def by_sustainability(view: DataFrame, limit: int = 10) -> DataFrame:
-    return response(top(view, "sustainability_score", check_limit(limit)))
+def by_sustainability(
+    gold: GoldTables, country: str, month: int, limit: int = 10
+) -> DataFrame:
+    """Best recipes by sustainability; a recipe without a score counts as 0."""
+    scores = context_scores(gold.sustainability, country, month).select(
+        "recipeid", "sustainability_score"
+    )
+    joined = gold.recommendations.select("recipeid").join(scores, "recipeid", "left")
+    best = top(joined.na.fill(0.0), "sustainability_score", check_limit(limit)).select("recipeid")
+    rows = gold.recommendations.join(F.broadcast(best), "recipeid", "left_semi")
+    return response(ranked(serving_view(gold, country, month, rows), "sustainability_score"))
 
 
-def by_score(view: DataFrame, score: str = "appeal", limit: int = 10) -> DataFrame:
-    if score not in ("appeal", "sustainability"):
-        raise ValueError("score must be 'appeal' or 'sustainability'")
-    return response(top(view, f"{score}_score", check_limit(limit)))
+def by_score(
+    gold: GoldTables, country: str, month: int, score: str = "appeal", limit: int = 10
+) -> DataFrame:
+    if score == "appeal":
+        return recommendations(gold, country, month, limit)
+    if score == "sustainability":
+        return by_sustainability(gold, country, month, limit)
+    raise ValueError("score must be 'appeal' or 'sustainability'")
 
 
 def by_id(view: DataFrame, recipeid: int) -> DataFrame:
+    """One recipe with all columns; the id is pushed down to the scan of every table."""
     empty = F.array().cast("array<string>")
     found = view.where(F.col("recipeid") == recipeid)
     return found.withColumn("matched_ingredients", F.coalesce("matched_ingredients", empty))
 
 
-def quick(view: DataFrame, max_time: int = 30, limit: int = 20) -> DataFrame:
+def quick(
+    gold: GoldTables, country: str, month: int, max_time: int = 30, limit: int = 20
+) -> DataFrame:
     if max_time < 1:
         raise ValueError("max_time must be positive")
-    return response(
-        top(view.where(F.col("totaltime") <= max_time), "appeal_score", check_limit(limit))
-    )
+    rows = gold.recommendations.where(F.col("totaltime") <= max_time)
+    return short_list(gold, country, month, rows, "appeal_score", limit)
 
 
-def by_category(view: DataFrame, category: str, limit: int = 20, regex: bool = False) -> DataFrame:
+def by_category(
+    gold: GoldTables, country: str, month: int, category: str, limit: int = 20, regex: bool = False
+) -> DataFrame:
     if regex:
         match = F.col("recipecategory").rlike("(?i)" + category)
     else:
         match = F.lower("recipecategory").contains(category.lower())
-    return response(top(view.where(match), "appeal_score", check_limit(limit)))
+    rows = gold.recommendations.where(match)
+    return short_list(gold, country, month, rows, "appeal_score", limit)
 
 
 # --- ingredient buckets ---------------------------------------------------------------
@@ -517,7 +563,8 @@ def option_lists(
 ) -> DataFrame:
     """Exclusive lists: seasonal produce, and everything else that does not repeat it.
 
-    Inputs are (pos, name) tables; ``bucket_items`` may have a ``category`` column.
+    Inputs are (pos, name) tables, ordered by pos and then name; ``bucket_items`` may have a
+    ``category`` column.
     """
 
     def produce(df: DataFrame) -> Column:

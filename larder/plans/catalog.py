@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from larder import constants as K
 from larder.functions import numeric, text
@@ -717,11 +717,11 @@ SHOWN_SQL = ", ".join(SHOWN)
 HITS = hits("matched_ingredients", BASKET)
 
 
+CONTEXT = (S.COUNTRY, S.MONTH)
+
+
 def view(w: Warehouse) -> DataFrame:
-    return serving.serving_view(
-        w.recommendations(), w.sustainability(), w.clusters(), w.recipe_map(), S.COUNTRY, S.MONTH,
-        w.sentiment(),
-    )
+    return serving.serving_view(w.gold(), *CONTEXT)
 
 
 def best(order: str, rows: int, where: str = "") -> str:
@@ -755,27 +755,27 @@ def _(w):
 
 @query("H3_recommendations", using("serving", best("appeal_score DESC", 10)))
 def _(w):
-    return serving.recommendations(view(w)).select(*SHOWN)
+    return serving.recommendations(w.gold(), *CONTEXT).select(*SHOWN)
 
 
 @query("H4_basket_recommendations", using("serving", best("appeal_score DESC", 10, f"WHERE len({HITS})>0")))
 def _(w):
-    return serving.basket_recommendations(view(w), S.BASKET).select(*SHOWN)
+    return serving.basket_recommendations(w.gold(), *CONTEXT, S.BASKET).select(*SHOWN)
 
 
 @query("H4_basket_without_hit", using("serving", best("appeal_score DESC", 10)))
 def _(w):
-    return serving.basket_recommendations(view(w), S.MISSING_BASKET).select(*SHOWN)
+    return serving.basket_recommendations(w.gold(), *CONTEXT, S.MISSING_BASKET).select(*SHOWN)
 
 
 @query("H5_by_sustainability", using("serving", best("sustainability_score DESC", 10)))
 def _(w):
-    return serving.by_sustainability(view(w)).select(*SHOWN)
+    return serving.by_sustainability(w.gold(), *CONTEXT).select(*SHOWN)
 
 
 @query("H6_by_chosen_score", using("serving", best("sustainability_score DESC", 25)))
 def _(w):
-    return serving.by_score(view(w), "sustainability", 25).select(*SHOWN)
+    return serving.by_score(w.gold(), *CONTEXT, "sustainability", 25).select(*SHOWN)
 
 
 @query("H7_point_lookup", using("serving", """
@@ -790,17 +790,17 @@ def _(w):
 
 @query("H8_quick", using("serving", best("appeal_score DESC", 20, "WHERE totaltime<=30")))
 def _(w):
-    return serving.quick(view(w), 30).select(*SHOWN)
+    return serving.quick(w.gold(), *CONTEXT, 30).select(*SHOWN)
 
 
 @query("H9_category_search", using("serving", best("appeal_score DESC", 20, "WHERE contains(lower(recipecategory),'eco')")))
 def _(w):
-    return serving.by_category(view(w), "ECO").select(*SHOWN)
+    return serving.by_category(w.gold(), *CONTEXT, "ECO").select(*SHOWN)
 
 
 @query("H9_category_regex", using("serving", best("appeal_score DESC", 20, "WHERE regexp_matches(recipecategory,'(?i)^(PRO|lar)')")))
 def _(w):
-    return serving.by_category(view(w), "^(PRO|lar)", regex=True).select(*SHOWN)
+    return serving.by_category(w.gold(), *CONTEXT, "^(PRO|lar)", regex=True).select(*SHOWN)
 
 
 _META = """bool_or(bucket='seasonal') OVER () AS seasonality_available,
@@ -1053,26 +1053,27 @@ _PRODUCE = "IN ('fruit','vegetable')"
 @query("H29_option_lists", using("season recipe_map production", f"""
 SELECT list, CAST(turn AS BIGINT) AS turn, pos, name FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY turn, pos, name) AS k FROM
  (SELECT *, {singular('name')} AS key FROM
-  (SELECT 'seasonal' AS list, 0 AS turn, row_number() OVER (ORDER BY name) AS pos, name FROM
+  (SELECT 'seasonal' AS list, 0 AS turn, CAST(0 AS BIGINT) AS pos, name FROM
     (SELECT DISTINCT product_name AS name FROM season WHERE country='{S.COUNTRY}' AND month_number={S.MONTH})
     WHERE {category('name')} {_PRODUCE} UNION ALL
-   SELECT 'complementary', 1, row_number() OVER (ORDER BY name), name FROM
+   SELECT 'complementary', 1, 0, name FROM
     (SELECT DISTINCT unnest(complementary_ingredients) AS name FROM recipe_map)
     WHERE NOT {category('name')} {_PRODUCE} UNION ALL
-   SELECT 'complementary', 2, row_number() OVER (ORDER BY production_value DESC, product_name), product_name FROM production
+   SELECT 'complementary', 2, CAST(-production_value AS BIGINT), product_name FROM production
     WHERE country_name='{S.COUNTRY}' AND year=(SELECT max(year) FROM production WHERE country_name='{S.COUNTRY}')
      AND NOT ({_AGG}))) ) WHERE k=1"""))
 def _(w):
-    produce = text.category_of(F.col("name"), S.TAXONOMY).isin(*K.SEASONAL_CATEGORIES)
-    # Option lists are the names of one country and month: a handful, so they are numbered.
-    season = serving.seasonal_products(w.season(), S.COUNTRY, S.MONTH, True).select(
-        F.col("product_name").alias("name")
-    ).where(produce).withColumn("pos", F.row_number().over(W.orderBy("name")))
-    every = w.recipe_map().select(F.explode("complementary_ingredients").alias("name")).distinct()
-    bucket = every.where(~produce).withColumn("pos", F.row_number().over(W.orderBy("name")))
-    ranked = serving.staples(w.production(), S.COUNTRY, 100)
-    place = F.row_number().over(W.orderBy(F.desc("production_value"), "product_name"))
-    production = ranked.select(F.col("product_name").alias("name"), place.alias("pos"))
+    season = serving.seasonal_products(w.season(), *CONTEXT, in_season_only=True).select(
+        F.lit(0).alias("pos"), F.col("product_name").alias("name")
+    )
+    bucket = (
+        w.recipe_map()
+        .select(F.lit(0).alias("pos"), F.explode("complementary_ingredients").alias("name"))
+        .distinct()
+    )
+    production = serving.staples(w.production(), S.COUNTRY, 100).select(
+        (-F.col("production_value")).cast("long").alias("pos"), F.col("product_name").alias("name")
+    )
     return serving.option_lists(season, bucket, production, S.TAXONOMY)
 
 
@@ -1110,15 +1111,22 @@ def _(w):
     return rows.select("doc_id", text.looks_mixed(F.col("text")).alias("mixed"))
 
 
-@query("H31_localised_labels", using("vocabulary", f"""
+@query("H31_localised_labels", f"""
 SELECT pos, name, CASE WHEN first_value(name) OVER (PARTITION BY plain ORDER BY pos)=name THEN plain
  ELSE plain||' ('||name||')' END AS label FROM (SELECT pos, name, coalesce(a.label,b.label,name) AS plain FROM
- (SELECT row_number() OVER (ORDER BY priority, term) AS pos, term AS name FROM vocabulary) o
+ (SELECT min(pos) AS pos, name FROM (SELECT p_partkey*2 AS pos, split_part(p_name,' ',1) AS name FROM part UNION ALL
+   SELECT p_partkey*2+1, split_part(p_name,' ',2)||(CASE WHEN p_size % 2=1 THEN 's' ELSE '' END) FROM part) GROUP BY 2) o
  LEFT JOIN {values(S.LABELS, 'term, label')} a ON a.term={keyed('name')}
- LEFT JOIN {values(S.LABELS, 'term, label')} b ON b.term={singular('name')})"""))
-def _(w):
-    pos = F.row_number().over(W.orderBy("priority", "term"))
-    options = w.vocabulary().select(pos.alias("pos"), F.col("term").alias("name"))
+ LEFT JOIN {values(S.LABELS, 'term, label')} b ON b.term={singular('name')})""")
+def _(w):
+    word = F.split("p_name", " ")
+    plural = F.concat(word[1], F.when(F.col("p_size") % 2 == 1, "s").otherwise(""))
+    options = (
+        w.driver("part")
+        .select(F.posexplode(F.array(word[0], plural)).alias("i", "name"), "p_partkey")
+        .groupBy("name")
+        .agg(F.min(F.col("p_partkey") * 2 + F.col("i")).alias("pos"))
+    )
     dictionary = literal_table(w.spark, "term string, label string", S.LABELS)
     return serving.localised_labels(options, dictionary)
 

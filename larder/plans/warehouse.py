@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larder.operators import cleaning, matching, scoring, segments, sentiment, sustainability
+from larder.operators.serving import GoldTables
 from larder.plans import settings as S
 from larder.sources.staging import literal_table, new_path, stage
 from larder.sources.writers import write_by_country
@@ -275,4 +276,10 @@ class Warehouse:
     def sustainability(self) -> DataFrame:
         return self.spark.read.parquet(self.sustainability_path())
 
+    def gold(self) -> GoldTables:
+        return GoldTables(
+            self.recommendations(), self.sustainability(), self.clusters(), self.recipe_map(),
+            self.sentiment(),
+        )
+
 
