@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from larder import constants as K
 from larder.functions import numeric
 from larder.sources.staging import stage
+from larder.sources.writers import spread
 
 SHARE_PLACES = 12
 MONTH_NUMBERS = tuple(range(1, 13))
@@ -247,9 +248,13 @@ def unscored(recipes: DataFrame, country: str, month: int) -> DataFrame:
 
 def sustainability_scores(
     matches: DataFrame, season: DataFrame, production: DataFrame, country: str | None = None,
-    month: int | None = None,
+    month: int | None = None, spread_countries: bool = False,
 ) -> DataFrame:
-    """Scores of all recipes with a recognised term, for one or for all contexts."""
+    """Scores of all recipes with a recognised term, for one or for all contexts.
+
+    ``spread_countries`` distributes the result for a write by country. It moves the rows
+    before the months are unfolded, which is a twelfth of the output.
+    """
     recipes = recipe_terms(matches)
     terms = (
         matches.where(F.col("matched_term").isNotNull() & (F.col("source") != K.UNMATCHED))
@@ -259,5 +264,7 @@ def sustainability_scores(
     contexts = stage(term_contexts(terms, season, production), "term-contexts")
     if country is not None:
         contexts = contexts.where(F.col("country") == country.lower().strip())
-    months = MONTH_NUMBERS if month is None else (month,)
-    return score_contexts(recipe_countries(recipes, contexts), months)
+    sums = recipe_countries(recipes, contexts)
+    if spread_countries:
+        sums = spread(sums, "country", ("recipeid",))
+    return score_contexts(sums, MONTH_NUMBERS if month is None else (month,))

@@ -129,11 +129,11 @@ WHERE country<>'{S.COUNTRY}' OR month_number={S.MONTH} GROUP BY 1,2,3"""))
 def _(w):
     rows = w.season().select("product_name", "product_type", "month_number", "country")
     path = new_path(w.spark, "by-country")
-    spread = ("product_name", "month_number")
-    writers.write_by_country(rows, path, "country", spread)
+    spread = writers.spread(rows, "country", ("product_name", "month_number"))
+    writers.write_by_country(spread, path, "country", ("month_number",))
     # Refresh one country only; the other directories stay.
     one = rows.where((F.col("country") == S.COUNTRY) & (F.col("month_number") == S.MONTH))
-    writers.write_by_country(one, path, "country", spread, only_present=True)
+    writers.write_by_country(one, path, "country", ("month_number",), only_present=True)
     back = w.spark.read.schema(rows.schema).parquet(path)
     return back.groupBy("country", "month_number", "product_name").agg(F.count("*").alias("n"))
 

@@ -267,7 +267,7 @@ class Warehouse:
         def build():
             path = new_path(self.spark, "gold_sustainability")
             scores = sustainability.sustainability_scores(
-                self.recipe_matches(), self.season(), self.production()
+                self.recipe_matches(), self.season(), self.production(), spread_countries=True
             )
             return write_by_country(scores, path)
 

@@ -20,26 +20,36 @@ def write_parquet(df: DataFrame, path: str) -> str:
     return path
 
 
+def files_per_country(spark: SparkSession) -> int:
+    """Grows with the configured parallelism, so that a country never sits in a few tasks."""
+    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+
+
+def spread(df: DataFrame, key: str, by: tuple[str, ...]) -> DataFrame:
+    """Rows of each ``key`` over several tasks.
+
+    A hash of the row's own columns picks the task, so a retried task gets the same rows.
+    """
+    slot = F.pmod(F.xxhash64(*by), F.lit(files_per_country(df.sparkSession)))
+    return df.repartition(key, slot)
+
+
 def write_by_country(
     df: DataFrame,
     path: str,
     key: str = "score_country",
-    spread_by: tuple[str, ...] = ("recipeid", "score_month"),
+    order: tuple[str, ...] = ("score_month",),
     only_present: bool = False,
-    files_per_country: int = 8,
 ) -> str:
-    """One directory per country.
+    """One directory per country, each file ordered for row-group pruning.
 
-    A country is spread over several tasks, so one that holds a third of the rows is not
-    written by a single task. ``only_present`` replaces just the countries in ``df``.
+    ``df`` should already be spread by country (see ``spread``), at the point where it has the
+    fewest rows. ``only_present`` replaces just the countries in ``df``.
     """
-    mode = "dynamic" if only_present else "static"
-    # A hash of the row's own key picks the file, so a retried task writes the same rows.
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(files_per_country))
     (
-        df.repartition(key, spread)
+        df.sortWithinPartitions(key, *order)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", mode)
+        .option("partitionOverwriteMode", "dynamic" if only_present else "static")
         .partitionBy(key)
         .parquet(path)
     )
