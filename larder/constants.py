@@ -52,18 +52,33 @@ SEGMENT_FEATURES = (
     "eufic_match_count", "totaltime_inverted", "rating_score",
 )
 SEGMENT_LABELS = (
-    ("Top Rated", "rating_score"),
-    ("Seasonal & Local", "eufic_match_count"),
-    ("Crowd Favourite", "sentiment_percentile"),
-    ("Quick & Easy", "totaltime_inverted"),
+    ("🏆 Top Rated", "rating_score"),
+    ("🌿 Seasonal & Local", "eufic_match_count"),
+    ("⭐ Crowd Favourite", "sentiment_percentile"),
+    ("⚡ Quick & Easy", "totaltime_inverted"),
 )
-SEGMENT_FALLBACK = "Global Kitchen"
+SEGMENT_FALLBACK = "🌍 Global Kitchen"
 SEGMENT_COUNT = 5
 SEGMENT_SEED = 42
 SEGMENT_STARTS = 10
 ELBOW_RANGE = tuple(range(2, 9))
 TIME_CLIP_QUANTILE = 0.99
 
+# --- Fixed values: flags, bands and badges of a shown recipe --------------------------
+FLAG_HIT = "🟢"
+FLAG_PRODUCTION = "🟡"
+SCORE_BANDS = (
+    (80, "🌱 Très durable"), (60, "🌿 Durable"), (40, "🟡 Moyen"), (None, "🔴 Faible"),
+)
+RANK_BADGES = ("🥇 ", "🥈 ", "🥉 ")
+EXPLANATION = {
+    "prefix": "Recommended because: ",
+    "popular": ("popular (", " reviews)"),
+    "time": ("ready in ", " min"),
+    "seasonal": ("matches: ", ""),
+    "fallback": "no selection — top seasonal picks",
+}
+
 # --- Fixed values: columns of a serving response -----------------------------------
 RESPONSE_COLUMNS = (
     "recipeid", "name", "recipecategory", "totaltime", "ingredient_count",

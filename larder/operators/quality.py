@@ -145,6 +145,11 @@ def profile(df: DataFrame) -> DataFrame:
     return one.select(F.explode(items).alias("r")).select("r.*")
 
 
+def preview(df: DataFrame, key: str, rows: int = 5) -> DataFrame:
+    """First rows by key."""
+    return df.orderBy(key).limit(rows)
+
+
 def reconcile(left: DataFrame, right: DataFrame, key: str, score: str) -> DataFrame:
     """Agreement of two implementations: equal scores, largest gap, keys on one side only."""
     both = left.select(key, F.col(score).alias("a"), F.lit(1).alias("in_a")).join(

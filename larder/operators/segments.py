@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from larder import constants as K
 from larder.functions import numeric
+from larder.sources.staging import stage
 
 FEATURES = list(K.SEGMENT_FEATURES)
 PARALLEL_FITS = 8
@@ -46,11 +47,12 @@ def fill_median(df: DataFrame, columns: list[str]) -> DataFrame:
     One pass counts the nulls; a median is computed only for columns that have any.
     """
     nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    filled = df
     for name in columns:
         if nulls[name]:
             median = numeric.exact_quantile(df, name, 0.5).scalar()
-            df = df.withColumn(name, F.coalesce(F.col(name).cast("double"), median))
-    return df
+            filled = filled.withColumn(name, F.coalesce(F.col(name).cast("double"), median))
+    return filled
 
 
 def invert(df: DataFrame, column: str, target: str) -> DataFrame:
@@ -61,15 +63,16 @@ def invert(df: DataFrame, column: str, target: str) -> DataFrame:
 def build_features(joined: DataFrame) -> DataFrame:
     """Recipe id and the six features scaled to [0, 1].
 
-    Standardising before the min-max step does not change its result, so it is left out.
+    Standardising before the min-max step does not change its result, so it is left out. Each
+    step needs a corpus-wide figure of the step before, so the steps are written in between.
     """
     raw = joined.select(
         "recipeid", "appeal_score", "sentiment_percentile", "simplicity_score",
         F.col("eufic_match_count").cast("double").alias("eufic_match_count"),
         "totaltime", "rating_score",
     )
-    clipped = clip_upper(raw, "totaltime", K.TIME_CLIP_QUANTILE)
-    filled = fill_median(clipped, [c for c in clipped.columns if c != "recipeid"])
+    clipped = stage(clip_upper(raw, "totaltime", K.TIME_CLIP_QUANTILE), "clipped")
+    filled = stage(fill_median(clipped, [c for c in clipped.columns if c != "recipeid"]), "filled")
     inverted = invert(filled, "totaltime", "totaltime_inverted").select("recipeid", *FEATURES)
     scaled = numeric.min_max_columns(inverted, FEATURES)
     return scaled.select("recipeid", *[F.col(f"{c}_scaled").alias(c) for c in FEATURES])
@@ -167,20 +170,35 @@ def build_profiles(assigned: DataFrame, columns: list[str] = FEATURES) -> DataFr
 def label_profiles(profiles: DataFrame) -> DataFrame:
     """Each label goes to the free cluster that is highest on the label's feature.
 
-    Subtracting the mean over clusters would not change which cluster is highest. One scalar
-    subquery over the k profile rows picks each winner.
+    Subtracting the mean over clusters would not change which cluster is highest. The k profile
+    rows become one array, from which the winners are picked one after the other.
     """
-    winners = []
-    for _, feature in K.SEGMENT_LABELS:
-        free = profiles
-        for taken in winners:
-            free = free.where(~F.coalesce(F.col("cluster_id") == taken, F.lit(False)))
-        order = F.struct(F.col(feature), -F.col("cluster_id"))
-        winners.append(free.agg(F.max_by("cluster_id", order)).scalar())
+    features = [feature for _, feature in K.SEGMENT_LABELS]
+    picked = profiles.agg(F.collect_list(F.struct("cluster_id", *features)).alias("rows"))
+    taken: list[str] = []
+    for i, feature in enumerate(features):
+
+        def score(row):
+            return F.struct(row[feature].alias("score"), (-row["cluster_id"]).alias("minus_id"))
+
+        def is_free(row):
+            free = F.lit(True)
+            for winner in taken:
+                free = free & ~F.coalesce(row["cluster_id"] == F.col(winner), F.lit(False))
+            return free
+
+        best = F.array_max(F.transform(F.filter("rows", is_free), score))
+        picked = picked.withColumn(f"winner{i}", -best["minus_id"])
+        taken.append(f"winner{i}")
+    winners = picked.select(F.struct(*taken)).scalar()
     label = F.lit(K.SEGMENT_FALLBACK)
-    for (name, _), winner in reversed(list(zip(K.SEGMENT_LABELS, winners))):
-        label = F.when(F.col("cluster_id") == winner, F.lit(name)).otherwise(label)
-    return profiles.withColumn("cluster_label", label)
+    for winner, (name, _) in reversed(list(zip(taken, K.SEGMENT_LABELS))):
+        label = F.when(F.col("cluster_id") == F.col(f"_winners.{winner}"), F.lit(name)).otherwise(label)
+    return (
+        profiles.withColumn("_winners", winners)
+        .withColumn("cluster_label", label)
+        .drop("_winners")
+    )
 
 
 def attach_labels(assigned: DataFrame, labelled: DataFrame) -> DataFrame:

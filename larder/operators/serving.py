@@ -487,17 +487,15 @@ def season_flag(ingredients: Column, production_count: Column, basket: list[str]
                 country_in_season_source: bool) -> Column:
     hit = F.size(text.basket_hits(ingredients, basket)) > 0
     fallback = F.lit(not country_in_season_source) & (F.coalesce(production_count, F.lit(0)) > 0)
-    return F.when(hit, "green").when(fallback, "yellow").otherwise("")
+    return F.when(hit, K.FLAG_HIT).when(fallback, K.FLAG_PRODUCTION).otherwise("")
 
 
 def score_band(score: Column) -> Column:
     value = F.coalesce(score, F.lit(0.0))
-    return (
-        F.when(value >= 80, "very sustainable")
-        .when(value >= 60, "sustainable")
-        .when(value >= 40, "medium")
-        .otherwise("low")
-    )
+    band = F.lit(K.SCORE_BANDS[-1][1])
+    for bound, name in reversed(K.SCORE_BANDS[:-1]):
+        band = F.when(value >= bound, F.lit(name)).otherwise(band)
+    return band
 
 
 def rank_badges(df: DataFrame, score: str, rows: int = 10) -> DataFrame:
@@ -506,29 +504,38 @@ def rank_badges(df: DataFrame, score: str, rows: int = 10) -> DataFrame:
     place = F.row_number().over(W.orderBy(F.col(score).desc_nulls_last(), F.col("recipeid")))
     return shown.withColumn("place", place).withColumn(
         "badge",
-        F.when(F.col("place") == 1, "gold")
-        .when(F.col("place") == 2, "silver")
-        .when(F.col("place") == 3, "bronze")
-        .otherwise(""),
+        F.coalesce(
+            F.get(F.array(*[F.lit(b) for b in K.RANK_BADGES]), F.col("place") - 1), F.lit("")
+        ),
     )
 
 
-def explanation(basket: list[str], fallback_mode: bool = False) -> Column:
+def explanation(
+    basket: list[str], fallback_mode: bool = False, texts: dict = K.EXPLANATION
+) -> Column:
     """Reviews, minutes and matched terms of a row as one sentence; empty when nothing applies."""
     hits = text.basket_hits(F.col("matched_ingredients"), basket)
     reviews, minutes = F.col("reviewcount").cast("long"), F.col("totaltime").cast("long")
+
+    def around(name: str, value: Column) -> Column:
+        before, after = texts[name]
+        return F.concat(F.lit(before), value, F.lit(after))
+
     if fallback_mode:
-        terms = F.lit("from the seasonal selection")
+        terms = F.lit(texts["fallback"])
     else:
         terms = F.when(
-            F.size(hits) > 0, F.concat(F.lit("uses "), F.array_join(F.array_sort(hits), ", "))
+            F.size(hits) > 0, around("seasonal", F.array_join(F.array_sort(hits), ", "))
         )
-    return F.concat_ws(
+    parts = F.concat_ws(
         ", ",
-        F.when(F.coalesce(reviews, F.lit(0)) != 0, F.concat(reviews, F.lit(" reviews"))),
-        F.when(F.coalesce(minutes, F.lit(0)) != 0, F.concat(minutes, F.lit(" minutes"))),
+        F.when(F.coalesce(reviews, F.lit(0)) != 0, around("popular", F.format_number(reviews, 0))),
+        F.when(F.coalesce(minutes, F.lit(0)) != 0, around("time", minutes.cast("string"))),
         terms,
     )
+    return F.when(parts == "", F.lit("")).otherwise(
+        F.concat(F.lit(texts["prefix"]), parts, F.lit("."))
+    )
 
 
 def segment_labels(clusters: DataFrame) -> DataFrame:

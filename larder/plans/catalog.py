@@ -13,7 +13,7 @@ from larder.operators import (
 )
 from larder.plans import settings as S
 from larder.plans.sql import (
-    category, cleaned, composite, display, hits, keyed, mean, minutes, rnd, scaled, singular,
+    category, cleaned, composite, display, hits, keyed, mean, minutes, quoted, rnd, scaled, singular,
     std, using, values,
 )
 from larder.plans.warehouse import Warehouse
@@ -939,8 +939,8 @@ def _(w):
     return serving.filter_by_basket(view(w), [S.MISSING_BASKET]).select(*BASKET_COLUMNS, "tier")
 
 
-@query("H19_segment_filter", using("serving", """
-SELECT recipeid, cluster_label, FALSE AS filter_ignored FROM serving WHERE cluster_label IN ('Top Rated','Quick & Easy')"""))
+@query("H19_segment_filter", using("serving", f"""
+SELECT recipeid, cluster_label, FALSE AS filter_ignored FROM serving WHERE cluster_label IN ({quoted(S.SEGMENTS)})"""))
 def _(w):
     return serving.filter_segments(view(w), S.SEGMENTS).select("recipeid", "cluster_label", "filter_ignored")
 
@@ -993,16 +993,19 @@ def _(w):
 
 
 @query("H24_season_flag", using("serving", f"""
-SELECT recipeid, CASE WHEN len({HITS})>0 THEN 'green' WHEN faostat_match_count>0 THEN 'yellow' ELSE '' END AS flag FROM serving"""))
+SELECT recipeid, CASE WHEN len({HITS})>0 THEN '{K.FLAG_HIT}' WHEN faostat_match_count>0 THEN '{K.FLAG_PRODUCTION}' ELSE '' END AS flag FROM serving"""))
 def _(w):
     flag = serving.season_flag(F.col("matched_ingredients"), F.col("faostat_match_count"), BASKET, False)
     return view(w).select("recipeid", flag.alias("flag"))
 
 
-@query("H25_bands_and_badges", using("serving", """
-SELECT recipeid, sustainability_score, CASE WHEN sustainability_score>=80 THEN 'very sustainable'
- WHEN sustainability_score>=60 THEN 'sustainable' WHEN sustainability_score>=40 THEN 'medium' ELSE 'low' END AS band,
- place, CASE place WHEN 1 THEN 'gold' WHEN 2 THEN 'silver' WHEN 3 THEN 'bronze' ELSE '' END AS badge
+_BANDS = " ".join(f"WHEN sustainability_score>={n} THEN '{t}'" for n, t in K.SCORE_BANDS[:-1])
+_BADGES = " ".join(f"WHEN {i} THEN '{b}'" for i, b in enumerate(K.RANK_BADGES, 1))
+
+
+@query("H25_bands_and_badges", using("serving", f"""
+SELECT recipeid, sustainability_score, CASE {_BANDS} ELSE '{K.SCORE_BANDS[-1][1]}' END AS band,
+ place, CASE place {_BADGES} ELSE '' END AS badge
 FROM (SELECT *, row_number() OVER (ORDER BY appeal_score DESC, recipeid) AS place FROM serving) WHERE place<=10"""))
 def _(w):
     rows = serving.rank_badges(view(w), "appeal_score")
@@ -1012,10 +1015,13 @@ def _(w):
     )
 
 
+_PARTS = f"""concat_ws(', ', CASE WHEN reviewcount<>0 THEN 'popular ('||format('{{:,}}',reviewcount)||' reviews)' END,
+ CASE WHEN totaltime<>0 THEN 'ready in '||totaltime||' min' END,
+ CASE WHEN len({HITS})>0 THEN 'matches: '||array_to_string(list_sort({HITS}),', ') END)"""
+
+
 @query("H26_explanation", using("serving", f"""
-SELECT recipeid, concat_ws(', ', CASE WHEN reviewcount<>0 THEN reviewcount||' reviews' END,
- CASE WHEN totaltime<>0 THEN totaltime||' minutes' END,
- CASE WHEN len({HITS})>0 THEN 'uses '||array_to_string(list_sort({HITS}),', ') END) AS explanation FROM serving"""))
+SELECT recipeid, CASE WHEN {_PARTS}='' THEN '' ELSE 'Recommended because: '||{_PARTS}||'.' END AS explanation FROM serving"""))
 def _(w):
     return view(w).select("recipeid", serving.explanation(BASKET).alias("explanation"))
 
@@ -1206,6 +1212,17 @@ def _(w):
     return quality.score_contract(w.sustainability())
 
 
+@query("I6_score_tolerance", using("recommendations", """
+SELECT recipeid, appeal_score FROM recommendations WHERE recipeid=45 AND abs(appeal_score-50e0)<=25e0"""))
+def _(w):
+    return quality.score_within(w.recommendations(), "recipeid", 45, "appeal_score", 50.0, 25.0)
+
+
+@query("I7_preview", "SELECT event_id, user_id, event_type FROM events ORDER BY event_id LIMIT 5")
+def _(w):
+    return quality.preview(w.driver("events"), "event_id").select("event_id", "user_id", "event_type")
+
+
 @query("I7_profile", """
 SELECT CAST(position AS BIGINT) AS position, "column", rows, nulls FROM
  (VALUES (0,'event_id'),(1,'ts'),(2,'user_id'),(3,'event_type'),(4,'value'),(5,'props')) AS t(position,"column")

@@ -7,7 +7,7 @@ MONTH = 6
 BASKET = "ring, blue"
 MISSING_BASKET = "saffron"
 FALLBACK_BASKET = ["gear", "gizmo"]
-SEGMENTS = ["Top Rated", "Quick & Easy"]
+SEGMENTS = ["🏆 Top Rated", "⚡ Quick & Easy"]
 
 TAXONOMY = [
     ("ring", "fruit"), ("widget", "vegetable"), ("bolt", "vegetable"), ("gear", "meat"),

@@ -404,8 +404,8 @@ for _i, (_label, _feature) in enumerate(K.SEGMENT_LABELS):
 SELECT cluster_id, '{_label}' AS label FROM profile_means {'WHERE ' + _free if _free else ''}
 ORDER BY {_feature} DESC, cluster_id LIMIT 1""")
     _taken.append(f"winner{_i}")
-cte("profiles", "profile_means " + " ".join(_taken), """
-SELECT p.*, coalesce(label,'Global Kitchen') AS cluster_label FROM profile_means p LEFT JOIN (
+cte("profiles", "profile_means " + " ".join(_taken), f"""
+SELECT p.*, coalesce(label,'{K.SEGMENT_FALLBACK}') AS cluster_label FROM profile_means p LEFT JOIN (
 """ + " UNION ALL ".join(f"SELECT * FROM {t}" for t in _taken) + ") w ON w.cluster_id=p.cluster_id")
 cte("clusters", "assigned profiles", """
 SELECT recipeid, cluster_id, cluster_label FROM assigned JOIN profiles USING (cluster_id)""")

@@ -58,14 +58,14 @@ def profiles(spark):
 def test_labels_are_greedy_and_unique(spark):
     got = {r.cluster_id: r.cluster_label for r in segments.label_profiles(profiles(spark)).collect()}
     assert got == {
-        2: "Top Rated", 4: "Seasonal & Local", 0: "Crowd Favourite", 3: "Quick & Easy", 1: "Global Kitchen",
+        2: "🏆 Top Rated", 4: "🌿 Seasonal & Local", 0: "⭐ Crowd Favourite", 3: "⚡ Quick & Easy", 1: "🌍 Global Kitchen",
     }
 
 
 def test_fewer_clusters_than_labels(spark):
     two = profiles(spark).where("cluster_id in (2, 4)")
     got = {r.cluster_id: r.cluster_label for r in segments.label_profiles(two).collect()}
-    assert got == {2: "Top Rated", 4: "Seasonal & Local"}
+    assert got == {2: "🏆 Top Rated", 4: "🌿 Seasonal & Local"}
 
 
 def test_clip_fill_invert(spark):

@@ -132,15 +132,19 @@ def test_time_sort_and_overview(gold):
 def test_flags_bands_badges_and_text(gold):
     view = serving.serving_view(gold, *AT)
     flag = serving.season_flag(F.col("matched_ingredients"), F.col("faostat_match_count"), ["apple"], False)
-    assert {r[0]: r[1] for r in view.select("recipeid", flag).collect()} == {1: "yellow", 2: "green", 3: "yellow", 4: ""}
+    assert {r[0]: r[1] for r in view.select("recipeid", flag).collect()} == {1: "🟡", 2: "🟢", 3: "🟡", 4: ""}
     assert [(r.recipeid, r.badge) for r in serving.rank_badges(view, "appeal_score", 4).orderBy("place").collect()] == [
-        (1, "gold"), (2, "silver"), (3, "bronze"), (4, ""),
+        (1, "🥇 "), (2, "🥈 "), (3, "🥉 "), (4, ""),
     ]
     df = view.select("recipeid", serving.explanation(["tomato", "garlic"]).alias("t")).orderBy("recipeid")
-    assert [r.t for r in df.collect()] == ["9 reviews, 20 minutes, uses garlic, tomato", "60 minutes", "4 reviews",
-                                           "2 reviews, 10 minutes"]
+    assert [r.t for r in df.collect()] == [
+        "Recommended because: popular (9 reviews), ready in 20 min, matches: garlic, tomato.",
+        "Recommended because: ready in 60 min.",
+        "Recommended because: popular (4 reviews).",
+        "Recommended because: popular (2 reviews), ready in 10 min.",
+    ]
     bands = view.select("recipeid", serving.score_band(F.col("sustainability_score")))
-    assert dict(map(tuple, bands.collect())) == {1: "medium", 2: "very sustainable", 3: "low", 4: "low"}
+    assert dict(map(tuple, bands.collect())) == {1: "🟡 Moyen", 2: "🌱 Très durable", 3: "🔴 Faible", 4: "🔴 Faible"}
 
 
 BUCKETS = "matched_ingredients array<string>, ingredient_categories array<string>"
