@@ -3,28 +3,32 @@
 from __future__ import annotations
 
 import json
+from fnmatch import fnmatchcase
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def latest_snapshot_path(spark: SparkSession, directory: str, pattern: str) -> str:
-    """Last path, by name, that matches ``pattern``; only file names are listed."""
+    """Last path, by name, whose last part matches ``pattern``; only file names are listed."""
     glob = f"{directory.rstrip('/')}/{pattern}"
-    depth = len(glob.replace("file:///", "/").replace("file:/", "/").split("/"))
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(glob)
-        names = files.inputFiles()
+        names = [unquote(name) for name in files.inputFiles()]
     except AnalysisException as error:
         raise FileNotFoundError(f"no snapshot matches {glob}") from error
-    if not names:
-        raise FileNotFoundError(f"no snapshot matches {glob}")
 
     def snapshot(name: str) -> str:
-        plain = name.replace("file:///", "/").replace("file:/", "/")
-        return "/".join(plain.split("/")[:depth])
+        # The file system may add a scheme and host, so the matching part is found by its name.
+        parts = name.split("/")
+        last = max(i for i, part in enumerate(parts) if fnmatchcase(part, pattern))
+        return "/".join(parts[: last + 1])
 
-    return max(snapshot(name) for name in names)
+    found = {snapshot(name) for name in names}
+    if not found:
+        raise FileNotFoundError(f"no snapshot matches {glob}")
+    return max(found, key=lambda path: path.rsplit("/", 1)[-1])
 
 
 def read_latest(

@@ -24,6 +24,14 @@ def test_latest_snapshot(spark, tmp_path):
         readers.read_latest(spark, str(tmp_path), "silver_z_*.parquet")
 
 
+def test_latest_extraction_folder(spark, tmp_path):
+    for day in ("2024-01-02", "2024-01-10"):
+        writers.write_csv(spark.range(1), f"{tmp_path}/raw data/extraction_date={day}/recipes.csv")
+    path = readers.latest_snapshot_path(spark, f"{tmp_path}/raw data", "extraction_date=*")
+    assert path.endswith("raw data/extraction_date=2024-01-10")
+    assert readers.read_csv(spark, f"{path}/recipes.csv", spark.range(1).schema).count() == 1
+
+
 def test_csv_keeps_quotes_newlines_and_blanks(spark, tmp_path):
     rows = [(1, 'say "hi",\nthen  go '), (2, " lead"), (3, "plain")]
     df = spark.createDataFrame(rows, "id long, t string")
