@@ -8,23 +8,32 @@ keys are split by the adaptive skew-join rule.
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-LITERAL_ROWS_LIMIT = 10_000
 _local_dirs: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by the cluster; a local one only where none is set."""
+    """The folder named by the cluster.
+
+    A local one serves only a local master that names none; any other session without a shared
+    folder is refused, since its executors could not read each other's files.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="larder-")
+        atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
     return _local_dirs[app]
 
 
@@ -45,7 +54,7 @@ def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
 
 
 def literal_table(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
-    """A table of constants from configuration, broadcast because its length is known."""
+    """A table of constants from configuration."""
     names = [part.split()[0] for part in schema.split(",")]
     if not rows:
         return spark.createDataFrame([], schema)
@@ -55,4 +64,4 @@ def literal_table(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFr
     table = spark.range(0, 1, 1, 1).select(F.explode(entries).alias("e")).selectExpr(
         *[f"cast(e.{p.split()[0]} as {p.split()[1]}) as {p.split()[0]}" for p in schema.split(",")]
     )
-    return F.broadcast(table) if len(rows) <= LITERAL_ROWS_LIMIT else table
+    return table
