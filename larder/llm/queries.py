@@ -3,8 +3,18 @@
 from __future__ import annotations
 
 from larder.llm.bktree import op10_query
+from larder.llm.mincut import op7_query
+from larder.llm.mixing import op3_query
+from larder.llm.outliers import op4_query
+from larder.llm.packing import op5_query
+from larder.llm.toxicity import op8_query
 
 QUERIES = {
+    "op3_temperature_mix": op3_query,
+    "op4_mcd_outliers": op4_query,
+    "op5_deficit_packing": op5_query,
+    "op7_mincut_text": op7_query,
+    "op8_noisy_or_toxicity": op8_query,
     "op10_simhash_bktree": op10_query,
 }
 ORACLES: dict[str, str] = {}
