@@ -3,7 +3,8 @@
 Each document is counted once into a narrow table. Its transformed statistic vector is judged by
 the Mahalanobis distance to a minimum-covariance-determinant estimate of its group: starting from
 medians and quartiles, each concentration step keeps the share ``SUPPORT`` of the group's rows
-with the smallest distance and takes their mean and covariance, until nothing changes.
+with the smallest distance and takes their mean and covariance, until nothing changes, at most
+``MAX_STEPS`` times.
 
 A step is one aggregation to (group, distance bin) with the moments of each bin, so a group of
 any size costs a bounded number of rows per map task, and the wanted share is read off the
@@ -28,7 +29,7 @@ SUPPORT = 0.75
 MIN_GROUP = 100
 #: Chance that a normal vector is rejected.
 REJECT = 1e-6
-MAX_STEPS = 30
+MAX_STEPS = 8
 #: Standard deviation added to each coordinate: no rejection over differences smaller than a few of these.
 FLOOR = {"length": 0.10, "symbols": 0.60, "dup_lines": 1.20, "repeats": 1.20}
 DIMS = tuple(FLOOR)
@@ -253,8 +254,8 @@ def _concentrated(vectors: DataFrame, estimate: DataFrame) -> DataFrame:
 def estimates(vectors: DataFrame) -> DataFrame:
     """(grp, m_i, l_ij): centre and Cholesky factor of each group's scatter.
 
-    The steps stop when no group's moments change, at the latest after ``MAX_STEPS``, where the
-    determinant has fallen throughout and any step's estimate is a valid one.
+    The steps stop when no group's moments change, at the latest after ``MAX_STEPS``: rows at the
+    edge of a bin can go to and fro for ever, which hardly moves the estimate.
     """
     current, before = stage(_start(vectors), "mcd-start"), None
     moments = None

@@ -32,9 +32,9 @@ WINDOW = 4096
 END_ID = 2
 #: White space for str.split that tokenizers' \s does not know.
 _ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
-_CACHE_WORDS = 500_000
+_CACHE_WORDS = 400_000
 _CACHE_LENGTH = 48
-_BATCH_CHARS = 4_000_000
+_BATCH_CHARS = 3_000_000
 
 
 class Encoder:
@@ -85,10 +85,10 @@ class Encoder:
         if not self.by_word:
             return self._each(texts)
         split = [None if any(c in x for c in _ODD_SPACE) else x.split() for x in texts]
-        if len(self.cache) > _CACHE_WORDS:
-            self.cache.clear()
-        words = set().union(*(s for s in split if s is not None)) - self.cache.keys()
-        learnt = self._learn(sorted(words))
+        seen = set().union(*(s for s in split if s is not None))
+        if len(self.cache) > _CACHE_WORDS:  # words of this batch are likely to come again
+            self.cache = {w: self.cache[w] for w in seen if w in self.cache}
+        learnt = self._learn(list(seen.difference(self.cache)))
         self.cache.update((w, b) for w, b in learnt.items() if len(w) <= _CACHE_LENGTH)
         long = {w: b for w, b in learnt.items() if len(w) > _CACHE_LENGTH}
         look = self.cache.__getitem__ if not long else lambda w: long[w] if w in long else self.cache[w]
