@@ -7,9 +7,8 @@ the order in which partial sums arrive.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-SMALL_COUNT = 100_000
 QUANTILE_ACCURACY = 100_000
 
 
@@ -79,22 +78,30 @@ def exact_quantile(df: DataFrame, column: str, q: float) -> DataFrame:
     """Exact linear-interpolated quantile as a one-row frame ``(quantile)``.
 
     ``percentile`` keeps every distinct value in one buffer. Here a first pass brackets the
-    wanted ranks with an approximate sketch of known rank error, a second pass counts the
-    rows below the bracket and the distinct values inside it. Only those few values are ranked.
+    wanted ranks with an approximate sketch of known rank error; each end then moves to the next
+    distinct value outside, since neighbouring ranks may be wanted. A last pass counts the rows
+    below the bracket and the distinct values inside it. Only those few values are ranked.
     """
     slack = 2.0 / QUANTILE_ACCURACY
     values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
     sketch = F.percentile_approx(
         "v", [max(0.0, q - slack), min(1.0, q + slack)], QUANTILE_ACCURACY
     )
-    small = F.count("v") <= SMALL_COUNT
-    span = values.agg(
-        F.struct(
-            F.when(small, F.min("v")).otherwise(sketch[0]).alias("lo"),
-            F.when(small, F.max("v")).otherwise(sketch[1]).alias("hi"),
-            F.count("v").alias("n"),
-        ).alias("span")
+    near = values.agg(
+        F.struct(sketch[0].alias("lo"), sketch[1].alias("hi"), F.count("v").alias("n")).alias("near")
     ).scalar()
+    lo, hi, n = F.col("near.lo"), F.col("near.hi"), F.col("near.n")
+    span = (
+        values.withColumn("near", near)
+        .agg(
+            F.struct(
+                F.coalesce(F.max(F.when(F.col("v") < lo, F.col("v"))), F.first(lo)).alias("lo"),
+                F.coalesce(F.min(F.when(F.col("v") > hi, F.col("v"))), F.first(hi)).alias("hi"),
+                F.first(n).alias("n"),
+            ).alias("span")
+        )
+        .scalar()
+    )
     # Rows below the bracket share one null key; they are counted map-side.
     counted = (
         values.withColumn("span", span)
@@ -102,8 +109,6 @@ def exact_quantile(df: DataFrame, column: str, q: float) -> DataFrame:
         .groupBy(F.when(F.col("v") >= F.col("span.lo"), F.col("v")).alias("v"))
         .agg(F.count("*").alias("rows"), F.first("span.n").alias("n"))
     )
-    from pyspark.sql import Window as W
-
     running = counted.withColumn(
         "upto", F.sum("rows").over(W.orderBy(F.col("v").asc_nulls_first()))
     )

@@ -16,6 +16,7 @@ from larder.sources.staging import stage
 
 FEATURES = list(K.SEGMENT_FEATURES)
 PARALLEL_FITS = 8
+MAX_ITERATIONS, TOLERANCE = 300, 1e-4
 
 
 def feature_join(
@@ -42,16 +43,11 @@ def clip_upper(df: DataFrame, column: str, q: float) -> DataFrame:
 
 
 def fill_median(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Nulls become the exact median of their column.
-
-    One pass counts the nulls; a median is computed only for columns that have any.
-    """
-    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    """Nulls become the exact median of their column; a column of nulls stays null."""
     filled = df
     for name in columns:
-        if nulls[name]:
-            median = numeric.exact_quantile(df, name, 0.5).scalar()
-            filled = filled.withColumn(name, F.coalesce(F.col(name).cast("double"), median))
+        median = numeric.exact_quantile(df, name, 0.5).scalar()
+        filled = filled.withColumn(name, F.coalesce(F.col(name).cast("double"), median))
     return filled
 
 
@@ -87,7 +83,7 @@ def fit_all(vectors: DataFrame, settings: list[tuple[int, int]]) -> list[KMeansM
     session = vectors.sparkSession
 
     def fit(setting: tuple[int, int]) -> KMeansModel:
-        return KMeans(k=setting[0], seed=setting[1]).fit(vectors)
+        return KMeans(k=setting[0], seed=setting[1], maxIter=MAX_ITERATIONS, tol=TOLERANCE).fit(vectors)
 
     with ThreadPool(min(PARALLEL_FITS, len(settings))) as pool:
         return pool.map(inheritable_thread_target(session)(fit), settings)
@@ -102,7 +98,7 @@ def fit_best(vectors: DataFrame, k: int, seed: int, starts: int) -> KMeansModel:
     return min(fit_all(vectors, [(k, seed + i) for i in range(starts)]), key=cost)
 
 
-def elbow(vectors: DataFrame, starts: int = 1) -> DataFrame:
+def elbow(vectors: DataFrame, starts: int = K.SEGMENT_STARTS) -> DataFrame:
     """Rows (k, inertia) for the usual range of k."""
     cached = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     settings = [(k, K.SEGMENT_SEED + i) for k in K.ELBOW_RANGE for i in range(starts)]
@@ -142,14 +138,14 @@ def cluster(features: DataFrame, columns: list[str], k: int = K.SEGMENT_COUNT,
     return distances(assigned.drop("features"), centers, columns)
 
 
-def silhouette(vectors: DataFrame, k: int = K.SEGMENT_COUNT, seed: int = K.SEGMENT_SEED) -> DataFrame:
-    """Silhouette with squared Euclidean distance over all rows."""
-    cached = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    predicted = KMeans(k=k, seed=seed).fit(cached).transform(cached)
-    score = ClusteringEvaluator(distanceMeasure="squaredEuclidean").evaluate(predicted)
-    cached.unpersist()
-    return vectors.sparkSession.createDataFrame(
-        [(k, float(score))], "k int, silhouette_squared_euclidean double"
+def silhouette(labelled: DataFrame, columns: list[str], cluster: str = "cluster_id") -> DataFrame:
+    """Silhouette of given labels with squared Euclidean distance over all rows."""
+    rows = as_vectors(labelled, columns).select(
+        F.col("features"), F.col(cluster).cast("double").alias("prediction")
+    )
+    score = ClusteringEvaluator(distanceMeasure="squaredEuclidean").evaluate(rows)
+    return labelled.sparkSession.createDataFrame(
+        [(float(score),)], "silhouette_squared_euclidean double"
     )
 
 

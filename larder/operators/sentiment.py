@@ -1,7 +1,7 @@
 """Rule-based review sentiment and its aggregation.
 
 Every word is looked at together with its neighbours, which are taken from the word array
-before it is exploded. Scoring a review therefore needs no window and no shuffle: only the
+before it is exploded. Scoring a review therefore needs no window: with a small lexicon only the
 per-review sum of integer valence units is exchanged.
 """
 
@@ -15,7 +15,6 @@ from larder import constants as K
 from larder.functions import numeric, text
 
 UNIT_PLACES = 9
-LEXICON_LIMIT = 50_000
 
 
 @dataclass(frozen=True)
@@ -85,20 +84,11 @@ def adjusted_valence(rules: SentimentRules) -> Column:
 
 
 def word_contexts(
-    reviews: DataFrame,
-    keys: list[str],
-    review: str,
-    rules: SentimentRules,
-    known: list[str] | None = None,
+    reviews: DataFrame, keys: list[str], review: str, rules: SentimentRules
 ) -> DataFrame:
-    """One row per word with its neighbours; a review without rows keeps one.
-
-    ``known`` restricts the rows to these words before anything is exploded.
-    """
+    """One row per word with its neighbours; a review without words keeps one."""
     tokens = F.col("_words")
     places = F.when(F.size(tokens) > 0, F.sequence(F.lit(0), F.size(tokens) - 1))
-    if known is not None:
-        places = F.filter(places, lambda i: F.get(tokens, i).isin(known))
     contexts = F.transform(
         places,
         lambda i: F.struct(
@@ -121,12 +111,6 @@ def word_contexts(
     )
 
 
-def known_words(lexicon: DataFrame, limit: int = LEXICON_LIMIT) -> list[str] | None:
-    """Words of a lexicon of bounded size, or None when it is larger than that."""
-    rows = lexicon.select("word").limit(limit + 1).collect()
-    return [row[0] for row in rows] if len(rows) <= limit else None
-
-
 def score_reviews(
     reviews: DataFrame,
     lexicon: DataFrame,
@@ -136,8 +120,8 @@ def score_reviews(
 ) -> DataFrame:
     """Score in [0, 100] per review; null or blank text scores exactly 50.
 
-    Few words of a text are in the lexicon. A lexicon of ordinary size becomes a set inside the
-    word filter, so only its hits are exploded; a larger one is joined with all words instead.
+    Words meet the lexicon in a join without a hint, so Catalyst broadcasts a small one and
+    shuffles a large one. Words without valence are dropped before their neighbours are looked up.
     """
     entries = lexicon.select(F.col("word"), F.col("valence").cast("double").alias("valence"))
 
@@ -145,7 +129,7 @@ def score_reviews(
         side = entries.select(F.col("word").alias(word), F.col("valence").alias(value))
         return df.join(side, word, "left")
 
-    contexts = word_contexts(reviews, list(keys), review, rules, known_words(lexicon))
+    contexts = word_contexts(reviews, list(keys), review, rules)
     rows = looked_up(contexts, "w0", "v0")
     # Words without valence are dropped here, but one row per review is kept.
     rows = rows.where(F.col("v0").isNotNull() | F.coalesce(F.col("pos") == 0, F.lit(True)))
@@ -183,20 +167,22 @@ def aggregate_by_recipe(scored: DataFrame) -> DataFrame:
 def add_percentile_rank(df: DataFrame, score: str = "mean_sentiment_score") -> DataFrame:
     """Average-tie percentile rank of a score that has two decimals in [0, 100].
 
-    The rank is taken over the distinct scores, of which there are at most 10,001, so the
-    ordered window and the broadcast side have a fixed bound whatever the number of rows.
+    Scores are cut to that range and rounded to two decimals here, so at most 10,001 distinct
+    ones are ranked in the ordered window whatever the number of rows.
     """
-    counts = df.where(F.col(score).isNotNull()).groupBy(score).agg(F.count("*").alias("ties"))
-    upto = F.sum("ties").over(W.orderBy(score))
-    total = F.sum("ties").over(W.orderBy(score).rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    key = numeric.round_half_up(F.least(F.greatest(F.col(score), F.lit(0.0)), F.lit(100.0)), 2)
+    keyed = df.withColumn("_key", F.when(F.col(score).isNotNull(), key))
+    counts = keyed.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.count("*").alias("ties"))
+    upto = F.sum("ties").over(W.orderBy("_key"))
+    total = F.sum("ties").over(W.orderBy("_key").rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
     rank = F.col("upto") - F.col("ties") + (F.col("ties") + 1) / F.lit(2.0)
     ranks = counts.withColumn("upto", upto).withColumn("total", total).select(
-        score,
+        "_key",
         numeric.round_half_up(rank / F.col("total") * F.lit(100.0), 2).alias(
             "sentiment_percentile"
         ),
     )
-    return df.join(F.broadcast(ranks), score, "left").select(*df.columns, "sentiment_percentile")
+    return keyed.join(ranks, "_key", "left").select(*df.columns, "sentiment_percentile")
 
 
 def distribution_summary(df: DataFrame) -> DataFrame:

@@ -38,20 +38,34 @@ class GoldTables:
 
 
 def context_scores(sustainability: DataFrame, country: str, month: int) -> DataFrame:
-    """Scores of one context; both conditions reach the scan as partition and row-group filters."""
+    """Scores of one context; both conditions reach the scan as partition and row-group filters.
+
+    Countries are compared by their key, so "United Kingdom" finds unitedkingdom.
+    """
     return sustainability.where(
-        (F.col("score_country") == country.lower().strip()) & (F.col("score_month") == month)
+        (text.country_key(F.col("score_country")) == text.country_key(F.lit(country)))
+        & (F.col("score_month") == month)
     ).select("recipeid", *SCORE_COLUMNS)
 
 
+def check_context(gold: GoldTables, country: str, month: int) -> None:
+    """Raise for a country and month without scores; one row of one partition is read."""
+    if context_scores(gold.sustainability, country, month).limit(1).isEmpty():
+        raise LookupError(f"no scores for country {country!r}, month {month}")
+
+
 def serving_view(
-    gold: GoldTables, country: str, month: int, rows: DataFrame | None = None
+    gold: GoldTables, country: str, month: int, rows: DataFrame | None = None, strict: bool = True
 ) -> DataFrame:
     """Recommendations with the scores, segment and ingredients for one country and month.
 
+    A context without any score raises, as the endpoints do; with ``strict=False`` all scores are 0.
+
     ``rows`` is a short list of recommendations (at most 100, see ``check_limit``). Its ids are
     broadcast and cut down every other table at its scan, so nothing large is shuffled.
     """
+    if strict:
+        check_context(gold, country, month)
     base = gold.recommendations if rows is None else rows
     sides = [
         context_scores(gold.sustainability, country, month),
@@ -68,7 +82,7 @@ def serving_view(
         view = view.join(side, "recipeid", "left")
     return (
         view.na.fill(0.0, subset=list(SCORE_COLUMNS))
-        .withColumn("score_country", F.lit(country.lower().strip()))
+        .withColumn("score_country", text.country_key(F.lit(country)))
         .withColumn("score_month", F.lit(month))
     )
 

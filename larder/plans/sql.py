@@ -164,9 +164,12 @@ SELECT l_orderkey, l_quantity, l_shipdate, n_nationkey, n_name, p_name, p_type
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
 JOIN part ON l_partkey = p_partkey""")
 cte("bronze_season", "shipped", """
-SELECT split_part(p_name,' ',2) AS product_name, p_type AS product_type,
- monthname(o_orderdate) AS month, n_name AS country, 'EUFIC' AS source
-FROM shipped JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity = 50""")
+SELECT product_name, product_type, month, country, 'EUFIC' AS source FROM
+ (SELECT *, sum(q) OVER (PARTITION BY product_name, country) AS year FROM
+  (SELECT split_part(p_name,' ',2) AS product_name, monthname(o_orderdate) AS month,
+    n_name AS country, sum(CAST(l_quantity AS BIGINT)) AS q, min(p_type) AS product_type
+   FROM shipped JOIN orders ON l_orderkey = o_orderkey GROUP BY 1,2,3))
+WHERE q*12 > year""")
 cte("bronze_production", "shipped", """
 SELECT CAST(n_nationkey AS BIGINT) AS area_code, n_name AS area,
  CAST(ascii(word)*1000+ascii(substr(word,2,1)) AS BIGINT) AS item_code, word AS item,

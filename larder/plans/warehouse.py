@@ -6,7 +6,7 @@ that needs it, so serving queries start from Gold parquet with column and partit
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from larder.operators import cleaning, matching, scoring, segments, sentiment, sustainability
 from larder.operators.serving import GoldTables
@@ -15,7 +15,6 @@ from larder.sources.staging import literal_table, new_path, stage
 from larder.sources.writers import write_by_country
 
 _tables: dict[tuple[str, str, str], DataFrame] = {}
-TIMESTAMPS = ("processed_at", "extracted_at")
 
 
 class Warehouse:
@@ -110,16 +109,24 @@ class Warehouse:
         )
 
     def bronze_seasonality(self) -> DataFrame:
+        """A product is in season in the months whose quantity is above the year's mean."""
         orders = self.driver("orders").select("o_orderkey", "o_orderdate")
-        return (
+        monthly = (
             self.shipped()
-            .where("l_quantity = 50")
             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .select(
+            .groupBy(
                 F.split("p_name", " ")[1].alias("product_name"),
-                F.col("p_type").alias("product_type"),
                 F.date_format("o_orderdate", "MMMM").alias("month"),
                 F.col("n_name").alias("country"),
+            )
+            .agg(F.sum(F.col("l_quantity").cast("long")).alias("q"), F.min("p_type").alias("product_type"))
+        )
+        year = F.sum("q").over(W.partitionBy("product_name", "country"))
+        return (
+            monthly.withColumn("year", year)
+            .where("q * 12 > year")
+            .select(
+                "product_name", "product_type", "month", "country",
                 F.lit("EUFIC").alias("source"),
                 F.lit("2024-01-01T00:00:00").alias("extracted_at"),
             )

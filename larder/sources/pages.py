@@ -40,7 +40,7 @@ def season_rows(pages: DataFrame, html: str, product_type: str, source: str) ->
     )
     tokens = pages.select(item.alias("item")).select(
         F.trim("item.name").alias("product_name"),
-        F.explode(F.slice(F.split("item.classes", " "), 2, 1_000_000)).alias("token"),
+        F.explode(F.filter(F.split("item.classes", " "), lambda _, i: i > 0)).alias("token"),
     )
     return (
         tokens.withColumn("parts", F.split("token", "-"))

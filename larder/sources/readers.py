@@ -3,32 +3,25 @@
 from __future__ import annotations
 
 import json
-from fnmatch import fnmatchcase
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from larder.functions import text
+
 
 def latest_snapshot_path(spark: SparkSession, directory: str, pattern: str) -> str:
-    """Last path, by name, whose last part matches ``pattern``; only file names are listed."""
+    """Last path, by name, whose last part matches ``pattern``.
+
+    One listing of ``directory`` itself: what lies below the snapshots is not looked at.
+    """
     glob = f"{directory.rstrip('/')}/{pattern}"
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(glob)
-        names = [unquote(name) for name in files.inputFiles()]
-    except AnalysisException as error:
-        raise FileNotFoundError(f"no snapshot matches {glob}") from error
-
-    def snapshot(name: str) -> str:
-        # The file system may add a scheme and host, so the matching part is found by its name.
-        parts = name.split("/")
-        last = max(i for i, part in enumerate(parts) if fnmatchcase(part, pattern))
-        return "/".join(parts[: last + 1])
-
-    found = {snapshot(name) for name in names}
-    if not found:
+    path = spark._jvm.org.apache.hadoop.fs.Path(glob)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    paths = [status.getPath() for status in found or ()]
+    if not paths:
         raise FileNotFoundError(f"no snapshot matches {glob}")
-    return max(found, key=lambda path: path.rsplit("/", 1)[-1])
+    return max(paths, key=lambda p: p.getName()).toString()
 
 
 def read_latest(
@@ -47,12 +40,17 @@ def read_parquet(
     return df.select(*columns) if columns else df
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header, quoted text that may span lines, doubled quotes inside it."""
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
+) -> DataFrame:
+    """CSV with a header and quoted text, doubled quotes inside it.
+
+    With ``multi_line`` quoted text may span lines; a file is then read by one task.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .csv(path)
@@ -72,7 +70,7 @@ def read_recursive(spark: SparkSession, path: str, key: str) -> DataFrame:
 def read_country_month(spark: SparkSession, path: str, country: str, month: int) -> DataFrame:
     """Scores of one country and month: one partition directory is scanned."""
     df = spark.read.parquet(path).where(
-        (F.col("score_country") == country.lower().strip())
+        (text.country_key(F.col("score_country")) == text.country_key(F.lit(country)))
         & (F.col("score_month") == month)
     )
     if df.limit(1).isEmpty():
@@ -84,10 +82,9 @@ def read_country_scores(
     spark: SparkSession, path: str, country: str, flat_path: str | None = None
 ) -> DataFrame:
     """Scores of one country; else a flat table filtered by country; else an empty table."""
-    key = country.lower().strip().replace(" ", "_")
-    plain = F.lower(F.trim(F.lit(country)))
+    wanted = text.country_key(F.lit(country))
     schema = None
-    for candidate, wanted in ((path, F.lit(key)), (flat_path, plain)):
+    for candidate in (path, flat_path):
         if candidate is None:
             continue
         try:
@@ -95,7 +92,7 @@ def read_country_scores(
         except AnalysisException:
             continue
         schema = df.schema
-        rows = df.where(F.lower(F.trim("score_country")) == wanted)
+        rows = df.where(text.country_key(F.col("score_country")) == wanted)
         if not rows.limit(1).isEmpty():
             return rows
     if schema is None:
@@ -104,7 +101,6 @@ def read_country_scores(
 
 
 
-
 def read_taxonomy(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     """Ordered (term, category) pairs of a JSON object; empty when the file is missing.
 
@@ -117,6 +113,8 @@ def read_taxonomy(spark: SparkSession, path: str) -> list[tuple[str, str]]:
         return []
     if not found:
         return []
+    if len(found) > 1:
+        raise ValueError(f"{path} holds more than one taxonomy file")
     payload = json.loads(found[0][0])
     if isinstance(payload, dict) and "categories" in payload:
         payload = payload["categories"]

@@ -35,7 +35,8 @@ def test_elbow_falls(points):
 
 
 def test_silhouette(points):
-    assert segments.silhouette(segments.as_vectors(points, COLUMNS), k=3).first()[1] > 0.9
+    labelled = segments.cluster(points, COLUMNS, k=3, starts=3)
+    assert segments.silhouette(labelled, COLUMNS).first()[0] > 0.9
 
 
 def profiles(spark):

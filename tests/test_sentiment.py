@@ -55,16 +55,14 @@ def test_blank_reviews_are_neutral_and_kept(spark, lexicon):
     assert scores(spark, lexicon, [None, "", "   ", "zzz"]) == [50.0, 50.0, 50.0, 50.0]
 
 
-def test_both_lexicon_paths_agree(spark, lexicon, monkeypatch):
+def test_large_lexicons_are_shuffled_and_agree(spark, lexicon):
     reviews = ["good but bad", "not so great", None, "love no bad", "really a good good but great"]
     small = scores(spark, lexicon, reviews)
-    monkeypatch.setattr(sentiment, "known_words", lambda *_: None)
-    assert scores(spark, lexicon, reviews) == small
-
-
-def test_lexicon_limit(lexicon):
-    assert sentiment.known_words(lexicon, 3) is None
-    assert sorted(sentiment.known_words(lexicon, 5)) == sorted(w for w, _ in LEXICON)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert scores(spark, lexicon, reviews) == small
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_aggregate(spark):
