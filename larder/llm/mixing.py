@@ -160,7 +160,8 @@ def plan(docs: DataFrame, exponent: float | None = None, entropy: float | None =
     cuts = (
         places.withColumn("taken", taken).where("taken < rest").groupBy("es").agg(F.max("place").alias("cut"))
     )
-    return wanted.join(cuts, F.col("source").eqNullSafe(F.col("es")), "left").drop("es")
+    # Written, so that Catalyst knows how few sources there are before documents move.
+    return stage(wanted.join(cuts, F.col("source").eqNullSafe(F.col("es")), "left").drop("es"), "mix-plan")
 
 
 def realise(docs: DataFrame, planned: DataFrame, seed: int = SEED) -> DataFrame:
