@@ -144,13 +144,17 @@ def _with_groups(stats: DataFrame) -> DataFrame:
     wide = F.to_json(F.struct("lang"), {"ignoreNullFields": "false"})
     sizes = stats.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
     rest = F.sum(F.when(F.col("n") < MIN_GROUP, F.col("n")).otherwise(0)).over(W.partitionBy("lang"))
-    named = sizes.withColumn("rest", rest).select(
-        F.col("lang").alias("__lang"),
-        F.col("source").alias("__source"),
-        F.when(F.col("n") >= MIN_GROUP, own)
-        .when(F.col("rest") >= MIN_GROUP, wide)
-        .otherwise(F.lit("{}"))
-        .alias("grp"),
+    # Written, so that Catalyst knows how few groups there are before wide rows move.
+    named = stage(
+        sizes.withColumn("rest", rest).select(
+            F.col("lang").alias("__lang"),
+            F.col("source").alias("__source"),
+            F.when(F.col("n") >= MIN_GROUP, own)
+            .when(F.col("rest") >= MIN_GROUP, wide)
+            .otherwise(F.lit("{}"))
+            .alias("grp"),
+        ),
+        "groups",
     )
     return stats.join(
         named,
