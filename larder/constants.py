@@ -70,6 +70,7 @@ FLAG_PRODUCTION = "🟡"
 SCORE_BANDS = (
     (80, "🌱 Très durable"), (60, "🌿 Durable"), (40, "🟡 Moyen"), (None, "🔴 Faible"),
 )
+COMPLEMENTARY_SOURCE = "FAOSTAT/Food.com"
 RANK_BADGES = ("🥇 ", "🥈 ", "🥉 ")
 EXPLANATION = {
     "prefix": "Recommended because: ",

@@ -25,7 +25,8 @@ def scaled_long(value: Column, places: int) -> Column:
 def exact_mean(value: Column, places: int) -> Column:
     """Mean of a column that is meaningful to ``places`` decimals; order-independent."""
     units = scaled_long(value, places)
-    return F.sum(units) / F.count(units) / F.lit(float(10**places))
+    total = F.sum(units.cast("decimal(38,0)")).cast("double")
+    return total / F.count(units) / F.lit(float(10**places))
 
 
 def exact_stddev(value: Column, places: int) -> Column:
@@ -33,8 +34,9 @@ def exact_stddev(value: Column, places: int) -> Column:
     scale = float(10**places)
     units = scaled_long(value, places)
     n = F.count(units).cast("double")
-    s1 = F.sum(units).cast("double")
-    s2 = F.sum(units * units).cast("double")
+    wide = units.cast("decimal(19,0)")
+    s1 = F.sum(wide).cast("double")
+    s2 = F.sum(wide * wide).cast("double")
     variance = F.when(n > 1, (s2 - s1 * s1 / n) / F.nullif(n - F.lit(1.0), F.lit(0.0)))
     return F.sqrt(F.greatest(variance, F.lit(0.0))) / F.lit(scale)
 

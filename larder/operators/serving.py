@@ -250,13 +250,13 @@ def _metadata(df: DataFrame) -> DataFrame:
     seasonal = any_row(df, F.col("bucket") == "seasonal")
     return df.withColumn("seasonality_available", seasonal).withColumn(
         "seasonality_source", F.when(F.col("seasonality_available"), F.lit("EUFIC"))
-    )
+    ).withColumn("complementary_source", F.lit(K.COMPLEMENTARY_SOURCE))
 
 
 def ingredient_buckets(recipe_map: DataFrame, taxonomy: list[tuple[str, str]]) -> DataFrame:
     """Disjoint seasonal and complementary names; the path depends on the columns present.
 
-    One aggregation per name decides its bucket, so no anti join is needed.
+    A map without any ingredient column gives no rows. One aggregation per name decides its bucket, so no anti join is needed.
     """
     columns = set(recipe_map.columns)
     if {"seasonal_ingredients", "complementary_ingredients"} <= columns:
@@ -267,8 +267,12 @@ def ingredient_buckets(recipe_map: DataFrame, taxonomy: list[tuple[str, str]]) -
         names = _with_categories(recipe_map, taxonomy, K.OTHER_CATEGORY).select(
             "name", F.col("category").isin(*K.SEASONAL_CATEGORIES).alias("is_seasonal")
         )
-    else:
+    elif "matched_ingredients" in columns:
         names = _named(recipe_map, "matched_ingredients", False)
+    else:
+        names = recipe_map.limit(0).select(
+            F.lit(None).cast("string").alias("name"), F.lit(False).alias("is_seasonal")
+        )
     grouped = names.groupBy("name").agg(F.bool_or("is_seasonal").alias("is_seasonal"))
     return _metadata(
         grouped.select(
@@ -298,6 +302,10 @@ def ingredient_buckets_v2(recipe_map: DataFrame, taxonomy: list[tuple[str, str]]
             "name", category.alias("category"), "is_seasonal", "occurrences",
         )
         return _metadata(items)
+    if "matched_ingredients" not in columns:
+        recipe_map = recipe_map.limit(0).withColumn(
+            "matched_ingredients", F.lit(None).cast("array<string>")
+        )
     if "ingredient_categories" not in columns:
         recipe_map = recipe_map.withColumn(
             "ingredient_categories", F.lit(None).cast("array<string>")
@@ -420,17 +428,28 @@ def _relevance(df: DataFrame, size: Column) -> DataFrame:
     )
 
 
+def narrow_flags(gold: GoldTables, side: DataFrame, *columns: str) -> DataFrame:
+    """The rows of one narrow table that the serving view shows, for flags over the whole view."""
+    return side.select("recipeid", *columns).join(
+        gold.recommendations.select("recipeid"), "recipeid", "left_semi"
+    )
+
+
 def filter_by_basket(
-    view: DataFrame, basket: list[str], fallback: list[str] | None = None
+    view: DataFrame, basket: list[str], fallback: list[str] | None = None,
+    flags_from: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of the first tier that is not empty, with the tier in a column.
 
+    ``flags_from`` holds the same ingredient lists as the view in a narrow table, so that the
+    view itself is computed once.
+
     Tiers: ``basket`` hits, ``seasonal`` (fallback) hits, ``global``. The result is ordered by
     the caller or by ``tier_order``.
     """
     hits = F.size(text.basket_hits(F.col("matched_ingredients"), basket))
     back = F.size(text.basket_hits(F.col("matched_ingredients"), fallback or []))
-    flags = view.agg(
+    flags = (view if flags_from is None else flags_from).agg(
         F.struct(
             F.coalesce(F.bool_or(hits > 0), F.lit(False)).alias("basket"),
             F.coalesce(F.bool_or(back > 0), F.lit(False)).alias("seasonal"),
@@ -465,12 +484,17 @@ def tier_order() -> list[Column]:
     ]
 
 
-def filter_segments(df: DataFrame, labels: list[str]) -> DataFrame:
-    """Rows of the chosen segments; all rows, flagged, when none would remain."""
+def filter_segments(
+    df: DataFrame, labels: list[str], flags_from: DataFrame | None = None
+) -> DataFrame:
+    """Rows of the chosen segments; all rows, flagged, when none would remain.
+
+    ``flags_from`` holds the same labels in a narrow table.
+    """
     if not labels:
         return df.withColumn("filter_ignored", F.lit(False))
     wanted = F.coalesce(F.col("cluster_label").isin(*labels), F.lit(False))
-    return df.withColumn("filter_ignored", ~any_row(df, wanted)).where(
+    return df.withColumn("filter_ignored", ~any_row(df if flags_from is None else flags_from, wanted)).where(
         wanted | F.col("filter_ignored")
     )
 

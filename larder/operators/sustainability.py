@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from larder import constants as K
-from larder.functions import numeric
+from larder.functions import numeric, text
 from larder.sources.staging import stage
 from larder.sources.writers import spread
 
@@ -96,10 +96,12 @@ def countries_array(season: DataFrame) -> Column:
     return keys.agg(F.array_sort(F.collect_set("country"))).scalar()
 
 
-def term_contexts(terms: DataFrame, season: DataFrame, production: DataFrame) -> DataFrame:
+def term_contexts(
+    terms: DataFrame, season: DataFrame, production: DataFrame, month: int | None = None
+) -> DataFrame:
     """Rows (matched_term, country, months, availability) for every term and country.
 
-    ``months`` is a bit mask. Each term gets a row for each country, also without data, so the
+    ``months`` is a bit mask, of the one wanted month if given. Each term gets a row for each country, also without data, so the
     join to recipes yields every country.
     """
     seasons = season.where(F.col("is_in_season")).select(
@@ -107,6 +109,8 @@ def term_contexts(terms: DataFrame, season: DataFrame, production: DataFrame) ->
         F.col("product_name").alias("matched_term"),
         F.col("month_number"),
     )
+    if month is not None:
+        seasons = seasons.where(F.col("month_number") == month)
     masks = seasons.groupBy("country", "matched_term").agg(
         F.bit_or(F.expr("cast(shiftleft(1, cast(month_number - 1 as int)) as int)")).alias("months")
     )
@@ -227,25 +231,6 @@ def score_contexts(per_country: DataFrame, months: tuple[int, ...] = MONTH_NUMBE
     )
 
 
-def unscored(recipes: DataFrame, country: str, month: int) -> DataFrame:
-    """Recipes without a recognised term: every score is 0."""
-    zero = F.lit(0.0)
-    return recipes.where(F.size("terms") == 0).select(
-        "recipeid",
-        F.lit(country).alias("score_country"),
-        F.lit(month).alias("score_month"),
-        F.lit(0).cast("long").alias("recognized_ingredient_count"),
-        "total_ingredient_tokens",
-        "matched_ingredient_tokens",
-        zero.alias("seasonality_score"),
-        zero.alias("availability_score"),
-        zero.alias("sustainability_mean"),
-        zero.alias("positive_ratio"),
-        zero.alias("sustainability_score"),
-        "coverage_score",
-    )
-
-
 def sustainability_scores(
     matches: DataFrame, season: DataFrame, production: DataFrame, country: str | None = None,
     month: int | None = None, spread_countries: bool = False,
@@ -261,9 +246,12 @@ def sustainability_scores(
         .select("matched_term")
         .distinct()
     )
-    contexts = stage(term_contexts(terms, season, production), "term-contexts")
     if country is not None:
-        contexts = contexts.where(F.col("country") == country.lower().strip())
+        # One context: both sources are cut down at their scans.
+        key = text.country_key(F.lit(country))
+        season = season.where(text.country_key(F.col("country")) == key)
+        production = production.where(text.country_key(F.col("country_name")) == key)
+    contexts = stage(term_contexts(terms, season, production, month), "term-contexts")
     sums = recipe_countries(recipes, contexts)
     if spread_countries:
         sums = spread(sums, "country", ("recipeid",))

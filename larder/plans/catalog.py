@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -18,7 +19,7 @@ from larder.plans.sql import (
 )
 from larder.plans.warehouse import Warehouse
 from larder.sources import pages, readers, writers
-from larder.sources.schemas import lower_names, require_columns
+from larder.sources.schemas import lower_names, missing_columns, require_columns
 from larder.sources.staging import literal_table, new_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,6 +177,26 @@ def _(w):
     return pages.attribute_tokens(w.driver("pages"), "page_id", "html", "a", "href", "/")
 
 
+@query("A12_season_grid", using("bronze_season", """
+SELECT product_name, 'produce' AS product_type, month, country, 'grid' AS source FROM bronze_season"""))
+def _(w):
+    """Produce grids as pages show them: one item a product, one class a month and country."""
+    classes = F.array_join(F.array_sort(F.collect_list(F.concat_ws("-", "month", "country"))), " ")
+    item = F.concat(
+        F.lit('<div id="p" class="item '), classes, F.lit('"><a href="#"><strong> '), F.col("product_name"),
+        F.lit(" </strong></a></div>"),
+    )
+    grid = w.bronze_seasonality().groupBy("product_name").agg(item.alias("html"))
+    return pages.season_rows(grid, "html", "produce", "grid").drop("extracted_at")
+
+
+@query("A6_object_store_source", "SELECT c_custkey, c_mktsegment FROM customer")
+def _(w):
+    """The parquet reader addressed by a URI with a scheme, as for any store that Spark knows."""
+    uri = w.sf_dir if "://" in w.sf_dir else f"file://{w.sf_dir}"
+    return readers.read_parquet(w.spark, f"{uri}/customer.parquet", ["c_custkey", "c_mktsegment"])
+
+
 @query("A13_taxonomy_load", """
 SELECT row_number() OVER (ORDER BY p_name)-1 AS pos, p_name AS term, lower(min(p_type)) AS category
 FROM part GROUP BY p_name""")
@@ -191,6 +212,14 @@ def _(w):
 # =====================================================================================
 
 
+@query("B1_missing_columns", """
+SELECT name FROM (VALUES ('p_partkey'),('p_name'),('p_colour'),('p_weight')) AS t(name)
+WHERE name NOT IN (SELECT column_name FROM information_schema.columns WHERE table_name='part')""")
+def _(w):
+    wanted = ["p_partkey", "p_name", "p_colour", "p_weight"]
+    return literal_table(w.spark, "name string", [(c,) for c in missing_columns(w.driver("part"), wanted)])
+
+
 @query("B2_lower_names", using("bronze_recipes", """
 SELECT RecipeId AS recipeid, TotalTime AS totaltime, RecipeCategory AS recipecategory FROM bronze_recipes"""))
 def _(w):
@@ -765,6 +794,17 @@ def _(w):
     )
 
 
+@query("H1_compound_country", using("serving", f"""
+SELECT recipeid, sustainability_score, coverage_score, 'unitedkingdom' AS score_country FROM serving"""))
+def _(w):
+    """The displayed form of a compound country finds its internal key."""
+    gold = w.gold()
+    key = F.when(F.col("score_country") == S.COUNTRY, "unitedkingdom").otherwise(F.col("score_country"))
+    renamed = replace(gold, sustainability=gold.sustainability.withColumn("score_country", key))
+    rows = serving.serving_view(renamed, " United Kingdom", S.MONTH)
+    return rows.select("recipeid", "sustainability_score", "coverage_score", "score_country")
+
+
 @query("H2_statistics", using("serving", f"""
 SELECT count(*) AS nb_recipes, {rnd(mean('appeal_score', 2), 2)} AS average_appeal_score,
  max(appeal_score) AS max_appeal_score, min(appeal_score) AS min_appeal_score,
@@ -828,7 +868,7 @@ def _(w):
 
 
 _META = """bool_or(bucket='seasonal') OVER () AS seasonality_available,
- CASE WHEN bool_or(bucket='seasonal') OVER () THEN 'EUFIC' END AS seasonality_source"""
+ CASE WHEN bool_or(bucket='seasonal') OVER () THEN 'EUFIC' END AS seasonality_source, 'FAOSTAT/Food.com' AS complementary_source"""
 
 
 @query("H10_ingredient_buckets", using("recipe_map", f"""
@@ -940,6 +980,14 @@ BASKET_COLUMNS = ("recipeid", "basket_match_count", "basket_match_score", "recom
 BASKET_SQL = ", ".join(BASKET_COLUMNS)
 
 
+def ingredients(w: Warehouse) -> DataFrame:
+    return serving.narrow_flags(w.gold(), w.recipe_map(), "matched_ingredients")
+
+
+def labels(w: Warehouse) -> DataFrame:
+    return serving.narrow_flags(w.gold(), w.clusters(), "cluster_label")
+
+
 @query("H17_basket_relevance", using("serving", f"SELECT {BASKET_SQL} FROM ({relevance('serving', BASKET)})"))
 def _(w):
     return serving.with_relevance(view(w), BASKET).select(*BASKET_COLUMNS)
@@ -947,31 +995,31 @@ def _(w):
 
 @query("H18_tier_basket", using("serving", f"SELECT {BASKET_SQL}, 'basket' AS tier FROM ({relevance('serving', BASKET, 'WHERE n>0')})"))
 def _(w):
-    return serving.filter_by_basket(view(w), BASKET, S.FALLBACK_BASKET).select(*BASKET_COLUMNS, "tier")
+    return serving.filter_by_basket(view(w), BASKET, S.FALLBACK_BASKET, ingredients(w)).select(*BASKET_COLUMNS, "tier")
 
 
 @query("H18_tier_seasonal", using("serving", f"""
 SELECT {BASKET_SQL}, 'seasonal' AS tier FROM ({relevance('serving', S.FALLBACK_BASKET, 'WHERE n>0')})
 ORDER BY basket_match_count DESC, recommendation_score DESC, recipeid"""))
 def _(w):
-    rows = serving.filter_by_basket(view(w), [S.MISSING_BASKET], S.FALLBACK_BASKET)
+    rows = serving.filter_by_basket(view(w), [S.MISSING_BASKET], S.FALLBACK_BASKET, ingredients(w))
     return rows.orderBy(*serving.tier_order()).select(*BASKET_COLUMNS, "tier")
 
 
 @query("H18_tier_global", using("serving", f"SELECT {BASKET_SQL}, 'global' AS tier FROM ({relevance('serving', [S.MISSING_BASKET])})"))
 def _(w):
-    return serving.filter_by_basket(view(w), [S.MISSING_BASKET]).select(*BASKET_COLUMNS, "tier")
+    return serving.filter_by_basket(view(w), [S.MISSING_BASKET], flags_from=ingredients(w)).select(*BASKET_COLUMNS, "tier")
 
 
 @query("H19_segment_filter", using("serving", f"""
 SELECT recipeid, cluster_label, FALSE AS filter_ignored FROM serving WHERE cluster_label IN ({quoted(S.SEGMENTS)})"""))
 def _(w):
-    return serving.filter_segments(view(w), S.SEGMENTS).select("recipeid", "cluster_label", "filter_ignored")
+    return serving.filter_segments(view(w), S.SEGMENTS, labels(w)).select("recipeid", "cluster_label", "filter_ignored")
 
 
 @query("H19_segment_filter_ignored", using("serving", "SELECT recipeid, cluster_label, TRUE AS filter_ignored FROM serving"))
 def _(w):
-    return serving.filter_segments(view(w), ["No Such Segment"]).select("recipeid", "cluster_label", "filter_ignored")
+    return serving.filter_segments(view(w), ["No Such Segment"], labels(w)).select("recipeid", "cluster_label", "filter_ignored")
 
 
 @query("H20_time_filter", using("serving", "SELECT recipeid, totaltime FROM serving WHERE coalesce(totaltime,999)<=60"))
@@ -991,7 +1039,7 @@ def _register_mode(mode: str, order: str) -> None:
 SELECT {BASKET_SQL}, appeal_score, sustainability_score FROM ({relevance('serving', BASKET, 'WHERE n>0')})
 WHERE coalesce(totaltime,999)<=60 ORDER BY {order}, recipeid LIMIT 10"""))
     def _(w):
-        rows = serving.within_time(serving.filter_by_basket(view(w), BASKET), 60)
+        rows = serving.within_time(serving.filter_by_basket(view(w), BASKET, flags_from=ingredients(w)), 60)
         return serving.sort_by_mode(rows, mode).select(*BASKET_COLUMNS, "appeal_score", "sustainability_score")
 
 
@@ -1005,7 +1053,7 @@ SELECT count(*) AS recipes, {rnd(mean('appeal_score', 2), 1)} AS mean_appeal_sco
  {rnd(mean('totaltime', 2), 0)} AS mean_totaltime FROM (SELECT * FROM
  ({relevance('serving', BASKET, 'WHERE n>0')}) ORDER BY {_MODES['compromise']}, recipeid LIMIT 10)"""))
 def _(w):
-    rows = serving.filter_by_basket(view(w), BASKET)
+    rows = serving.filter_by_basket(view(w), BASKET, flags_from=ingredients(w))
     return serving.overview(serving.sort_by_mode(rows, "compromise"))
 
 
@@ -1270,8 +1318,10 @@ def _(w):
 
 @query("I8_reconciliation", using("recommendations", f"""
 SELECT count(*) AS common, count(*) FILTER (a=b) AS identical, {rnd('count(*) FILTER (a=b)*1e2/count(*)', 1)} AS identical_percent,
- {rnd('max(abs(a-b))', 2)} AS largest_gap, CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right
-FROM (SELECT recipeid, appeal_score AS a FROM recommendations) JOIN ({_ROUNDED}) USING (recipeid)"""))
+ {rnd('max(abs(a-b))', 2)} AS largest_gap, any_value(only_left) AS only_left, any_value(only_right) AS only_right
+FROM (SELECT recipeid, appeal_score AS a FROM recommendations) JOIN ({_ROUNDED}) USING (recipeid) CROSS JOIN
+ (SELECT count(*) FILTER (b IS NULL) AS only_left, count(*) FILTER (a IS NULL) AS only_right FROM
+  (SELECT recipeid, appeal_score AS a FROM recommendations) FULL JOIN ({_ROUNDED}) USING (recipeid)) u"""))
 def _(w):
     return quality.reconcile(
         scoring.score_recipes(w.recipes(), w.sentiment()),
@@ -1288,10 +1338,16 @@ def _(w):
     return quality.tier_parity(flags, serving.confidence(flags))
 
 
-@query("I9_basket_parity", using("serving", f"SELECT count(*) FILTER (len({HITS})>0) AS by_count, count(*) FILTER (len({HITS})>0) AS by_tier FROM serving"))
+@query("I9_basket_parity", using("serving", f"""
+SELECT count(*) FILTER (len({HITS})>0) AS by_count, (SELECT count(DISTINCT recipeid) FROM
+ (SELECT recipeid, unnest(matched_ingredients) AS i FROM serving) JOIN
+ (VALUES {', '.join(f"('{b}')" for b in BASKET)}) AS t(b) ON contains(i,b) OR contains(b,i)) AS by_tier FROM serving"""))
 def _(w):
     rows = view(w)
-    tier = serving.filter_by_basket(rows, BASKET).where("tier = 'basket'")
+    tier = serving.filter_by_basket(
+        w.recommendations().join(w.recipe_map(), "recipeid", "left").withColumn("sustainability_score", F.lit(0.0)),
+        BASKET, flags_from=ingredients(w),
+    ).where("tier = 'basket'")
     by_tier = tier.agg(F.count("*")).scalar()
     return serving.qualifying_count(rows, BASKET).select(
         F.col("qualifying").alias("by_count"), by_tier.alias("by_tier")

@@ -52,11 +52,15 @@ BRONZE_PRODUCTION = T.StructType(
 
 def require_columns(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` itself, or an error that lists the missing columns."""
-    missing = sorted(set(names) - set(df.columns))
+    missing = missing_columns(df, names)
     if missing:
         raise ValueError(f"missing required columns: {missing}")
     return df
 
 
+def missing_columns(df: DataFrame, names: list[str]) -> list[str]:
+    return sorted(set(names) - set(df.columns))
+
+
 def lower_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[name.lower() for name in df.columns])

@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ def test_csv_keeps_quotes_newlines_and_blanks(spark, tmp_path):
     rows = [(1, 'say "hi",\nthen  go '), (2, " lead"), (3, "plain")]
     df = spark.createDataFrame(rows, "id long, t string")
     path = writers.write_csv(df, str(tmp_path / "c"))
-    assert sorted(map(tuple, readers.read_csv(spark, path, df.schema).collect())) == rows
+    assert sorted(map(tuple, readers.read_csv(spark, path, df.schema, multi_line=True).collect())) == rows
 
 
 def test_partitioned_sink_and_sources(spark, tmp_path):
@@ -48,7 +49,7 @@ def test_partitioned_sink_and_sources(spark, tmp_path):
     assert back.where("score_country = 'france'").count() == 8
     assert back.where("score_country = 'spain'").count() == 2
     one = readers.read_country_month(spark, path, "France ", 2)
-    assert one.count() == 4 and "PartitionFilters: [isnotnull(score_country" in plan(one)
+    assert one.count() == 4 and re.search(r"PartitionFilters: \[[^\]]*score_country", plan(one))
     with pytest.raises(LookupError):
         readers.read_country_month(spark, path, "peru", 1)
     with pytest.raises(LookupError):
@@ -144,3 +145,30 @@ def test_distribution(spark):
     df = spark.createDataFrame([(v,) for v in (0.0, 19.99, 20.0, 80.0, 100.0)], "sustainability_score double")
     got = {r.score_range: (r.rows, r.percentage) for r in quality.score_distribution(df).collect()}
     assert got == {"0-20": (2, 40.0), "20-40": (1, 20.0), "80-100": (2, 40.0)}
+
+
+def test_plain_csv_is_split_and_only_snapshots_are_listed(spark, tmp_path):
+    for day in ("20240101", "20240309", "20231231"):
+        for i in range(3):
+            part = tmp_path / f"raw_{day}" / f"part={i}"
+            part.mkdir(parents=True)
+            (part / "x.csv").write_text("id,t\n" + "".join(f'{j},"a ""b"""\n' for j in range(20_000)))
+    path = readers.latest_snapshot_path(spark, str(tmp_path), "raw_*")
+    assert path.rstrip("/").endswith("raw_20240309")
+    with pytest.raises(FileNotFoundError):
+        readers.latest_snapshot_path(spark, str(tmp_path), "none_*")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        schema = spark.createDataFrame([], "id long, t string").schema
+        rows = readers.read_csv(spark, f"{path}/part=0/x.csv", schema)
+        assert rows.count() == 20_000 and rows.rdd.getNumPartitions() > 1
+        assert rows.first()["t"] == 'a "b"'
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_two_taxonomy_files_are_refused(spark, tmp_path):
+    for name in ("a.json", "b.json"):
+        (tmp_path / name).write_text("{}")
+    with pytest.raises(ValueError):
+        readers.read_taxonomy(spark, str(tmp_path))

@@ -75,9 +75,20 @@ def test_every_country_and_month(matches, season, production):
     assert spain.sustainability_score == 0.0
 
 
-def test_unmatched_recipe_scores_zero(matches):
-    row = su.unscored(su.recipe_terms(matches), "france", 6).collect()
-    assert [(r.recipeid, r.sustainability_score, r.coverage_score) for r in row] == [(3, 0.0, 0.0)]
+def test_one_context_reads_one_country(spark, tmp_path, matches, season, production):
+    season.write.parquet(str(tmp_path / "s"))
+    production.write.parquet(str(tmp_path / "p"))
+    stored = spark.read.parquet(str(tmp_path / "s")), spark.read.parquet(str(tmp_path / "p"))
+    names = []
+    real = su.stage
+    try:
+        su.stage = lambda df, name, *a: names.append((name, plan(df))) or real(df, name, *a)
+        got = su.sustainability_scores(matches, *stored, " FRANCE", 6).collect()
+    finally:
+        su.stage = real
+    assert {r.score_country for r in got} == {"france"} and {r.score_month for r in got} == {6}
+    text = dict(names)["term-contexts"]
+    assert "month_number" in text and "france" in text.lower()
 
 
 def test_two_thirds_is_enough_for_the_bonus(spark, season, production):
