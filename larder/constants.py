@@ -126,6 +126,12 @@ BOOSTERS_DOWN = (
     "occasional", "occasionally", "partly", "scarce", "scarcely", "slight", "slightly",
     "somewhat", "sorta",
 )
+PHRASE_BOOSTERS = (("just enough", -0.293), ("kind of", -0.293), ("sort of", -0.293))
+IDIOMS = (
+    ("the shit", 3.0), ("the bomb", 3.0), ("bad ass", 1.5), ("badass", 1.5), ("bus stop", 0.0),
+    ("yeah right", -2.0), ("kiss of death", -1.5), ("to die for", 3.0), ("beating heart", 3.1),
+    ("broken heart", -2.9),
+)
 NEGATIONS = (
     "aint", "arent", "cannot", "cant", "couldnt", "darent", "didnt", "doesnt", "dont",
     "hadnt", "hasnt", "havent", "isnt", "mightnt", "mustnt", "neither", "neednt", "never",

@@ -9,6 +9,7 @@ from larder.functions import numeric, text
 from larder.sources.staging import stage
 
 SCORE_PLACES = 10
+SLICE_TERMS = 1000
 
 
 def build_vocabulary(season: DataFrame, production: DataFrame) -> DataFrame:
@@ -78,7 +79,18 @@ def match_tokens(tokens: DataFrame, vocabulary: DataFrame, index: DataFrame) ->
     Tokens stay hash-partitioned by token from their ``distinct`` on. The index is a written
     table, so Catalyst broadcasts it while it is small and then no further shuffle happens.
     """
-    idf = index.select("ngram", "idf").distinct()
+    # N-grams of many terms are cut into slices of the index, each met by all its tokens.
+    idf = stage(
+        index.groupBy("ngram").agg(
+            F.first("idf").alias("idf"),
+            F.ceil(F.count("*") / F.lit(SLICE_TERMS)).cast("int").alias("slices"),
+        ),
+        "ngram-idf",
+    )
+    sliced = index.join(idf.select("ngram", "slices"), "ngram").select(
+        "term", "source", "priority", "ngram", "weight",
+        F.pmod(F.xxhash64("term"), F.col("slices")).cast("int").alias("slice"),
+    )
     grams = (
         tokens.select(
             "ingredient_token",
@@ -86,13 +98,14 @@ def match_tokens(tokens: DataFrame, vocabulary: DataFrame, index: DataFrame) ->
         )
         .groupBy("ingredient_token", "ngram")
         .agg(F.count("*").cast("double").alias("tf"))
-        .join(stage(idf, "ngram-idf"), "ngram", "left")
+        .join(idf, "ngram", "left")
         .withColumn("raw", (F.lit(1.0) + F.log("tf")) * F.col("idf"))
     )
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy("ingredient_token")))
     scored = (
         grams.withColumn("unit", F.try_divide(F.col("raw"), norm))
-        .join(index.select("term", "source", "priority", "ngram", "weight"), "ngram", "left")
+        .withColumn("slice", F.explode(F.sequence(F.lit(0), F.coalesce("slices", F.lit(1)) - 1)))
+        .join(sliced, ["ngram", "slice"], "left")
         .groupBy("ingredient_token", "term", "source", "priority")
         .agg(F.sum(F.col("unit") * F.col("weight")).alias("dot"))
     )

@@ -23,12 +23,18 @@ class SentimentRules:
     boosters_down: tuple[str, ...] = K.BOOSTERS_DOWN
     negations: tuple[str, ...] = K.NEGATIONS
     contrast: str = K.CONTRAST_WORD
+    #: Phrases of two or three words that give a word in or after them a value of their own.
+    idioms: tuple[tuple[str, float], ...] = K.IDIOMS
+    #: Boosters of two or three words among the three before a word.
+    phrase_boosters: tuple[tuple[str, float], ...] = K.PHRASE_BOOSTERS
 
 
 def adjusted_valence(rules: SentimentRules) -> Column:
     """Valence of word ``w0`` given up to three words before it (``w1`` is the nearest).
 
-    ``v0``..``v3`` and ``vn`` are the lexicon values of these words and of the next one.
+    ``v0``..``v3`` and ``vn`` are the lexicon values of these words and of the next one, ``wn``
+    and ``wn2`` the two words that follow. Phrases count where the third word before exists and has
+    no value itself; of several that match, the one furthest ahead counts.
     """
     w = {d: F.coalesce(f"w{d}", F.lit("")) for d in (1, 2, 3)}
 
@@ -73,6 +79,7 @@ def adjusted_valence(rules: SentimentRules) -> Column:
         sign = F.when(value < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
         pushed = value + boost(distance) * F.lit(K.DAMPING[distance - 1]) * sign
         value = pushed * factor(distance)
+    value = F.when(applies(3), phrased(value, rules)).otherwise(value)
     least = (w[1] == "least") & F.col("v1").isNull() & ~w[2].isin("at", "very")
     contrast = (
         F.when(F.col("pos") < F.col("contrast_at"), F.lit(K.BEFORE_CONTRAST))
@@ -83,6 +90,28 @@ def adjusted_valence(rules: SentimentRules) -> Column:
     return F.when(silent | F.col("v0").isNull(), F.lit(0.0)).otherwise(value)
 
 
+def phrased(value: Column, rules: SentimentRules) -> Column:
+    """Value of a word after idioms and phrase boosters."""
+
+    def phrase(*names: str) -> Column:
+        # Null when one of the words is missing.
+        return F.concat(*[p for n in names for p in (F.lit(" "), F.col(n))][1:])
+
+    def listed(sequence: Column, entries: tuple[tuple[str, float], ...]) -> Column:
+        found = F.lit(None).cast("double")
+        for text_, number in entries:
+            found = F.when(sequence == text_, F.lit(float(number))).otherwise(found)
+        return found
+
+    before = [("w1", "w0"), ("w2", "w1", "w0"), ("w2", "w1"), ("w3", "w2", "w1"), ("w3", "w2")]
+    ahead = [("w0", "wn", "wn2"), ("w0", "wn")]
+    if rules.idioms:
+        value = F.coalesce(*[listed(phrase(*names), rules.idioms) for names in ahead + before], value)
+    for names in (("w3", "w2", "w1"), ("w3", "w2"), ("w2", "w1")) if rules.phrase_boosters else ():
+        value = value + F.coalesce(listed(phrase(*names), rules.phrase_boosters), F.lit(0.0))
+    return value
+
+
 def word_contexts(
     reviews: DataFrame, keys: list[str], review: str, rules: SentimentRules
 ) -> DataFrame:
@@ -98,6 +127,7 @@ def word_contexts(
             F.get(tokens, i - 2).alias("w2"),
             F.get(tokens, i - 3).alias("w3"),
             F.get(tokens, i + 1).alias("wn"),
+            F.get(tokens, i + 2).alias("wn2"),
         ),
     )
     return (

@@ -27,6 +27,8 @@ RULES = SentimentRules(
     boosters_down=("this", "hardly"),
     negations=("with", "from", "not", "never"),
     contrast="then",
+    idioms=(("than the", 2.1), ("the than", -1.7), ("of the thea", 2.6), ("the and", 0.4), ("in the of", -0.8)),
+    phrase_boosters=(("of the", 0.293), ("the in", -0.293), ("and the of", 0.293)),
 )
 
 PHRASES = [("mix until smooth", "melanger"), ("take the", "prendre le")]

@@ -135,6 +135,23 @@ def _step(distance: int, value: str) -> str:
     return f"{pushed}*{factor}"
 
 
+def _phrases(value: str) -> str:
+    """Value after idioms and phrase boosters."""
+
+    def listed(names: str, entries) -> str:
+        text = "||' '||".join(names.split())
+        return "CASE " + " ".join(f"WHEN {text}='{p}' THEN {float(v)}e0" for p, v in entries) + " END"
+
+    idioms = ", ".join(
+        listed(names, _R.idioms)
+        for names in ("w0 wn wn2", "w0 wn", "w1 w0", "w2 w1 w0", "w2 w1", "w3 w2 w1", "w3 w2")
+    )
+    pushed = "+".join(
+        f"coalesce({listed(names, _R.phrase_boosters)},0e0)" for names in ("w3 w2 w1", "w3 w2", "w2 w1")
+    )
+    return f"coalesce({idioms}, {value})+{pushed}"
+
+
 _C = "coalesce(w{0},'')"
 CTES: dict[str, tuple[tuple[str, ...], str]] = {}
 
@@ -222,7 +239,7 @@ SELECT reviewid, recipeid, contrast_at, unnest(list) AS w0, unnest(range(0,len(l
 FROM {name}_contrast""")
     cte(f"{name}_near", f"{name}_words", f"""
 SELECT *, lag(w0,1) OVER k AS w1, lag(w0,2) OVER k AS w2, lag(w0,3) OVER k AS w3,
- lead(w0,1) OVER k AS wn FROM {name}_words WINDOW k AS (PARTITION BY reviewid ORDER BY pos)""")
+ lead(w0,1) OVER k AS wn, lead(w0,2) OVER k AS wn2 FROM {name}_words WINDOW k AS (PARTITION BY reviewid ORDER BY pos)""")
     cte(f"{name}_found", f"{name}_near lexicon", f"""
 SELECT c.*, valence AS v0 FROM {name}_near c JOIN lexicon ON word=w0""")
     cte(f"{name}_context", f"{name}_found lexicon", f"""
@@ -234,13 +251,15 @@ LEFT JOIN lexicon ln ON ln.word=wn""")
     cte(f"{name}_two", f"{name}_one", f"SELECT *, {_step(1, 'a0')} AS a1 FROM {name}_one")
     cte(f"{name}_three", f"{name}_two", f"SELECT *, {_step(2, 'a1')} AS a2 FROM {name}_two")
     cte(f"{name}_four", f"{name}_three", f"SELECT *, {_step(3, 'a2')} AS a3 FROM {name}_three")
-    cte(f"{name}_value", f"{name}_four", f"""
+    cte(f"{name}_five", f"{name}_four", f"""
+SELECT *, CASE WHEN w3 IS NOT NULL AND v3 IS NULL THEN {_phrases('a3')} ELSE a3 END AS a4 FROM {name}_four""")
+    cte(f"{name}_value", f"{name}_five", f"""
 SELECT reviewid, CASE WHEN w0 IN ({quoted(_R.boosters_up + _R.boosters_down)})
   OR (w0='kind' AND wn='of') OR (w0='no' AND vn IS NOT NULL) THEN 0e0 ELSE
- a3*(CASE WHEN w1='least' AND v1 IS NULL AND {_C.format(2)} NOT IN ('at','very')
+ a4*(CASE WHEN w1='least' AND v1 IS NULL AND {_C.format(2)} NOT IN ('at','very')
    THEN {K.NEGATION_FACTOR}e0 ELSE 1e0 END)
  *(CASE WHEN pos<contrast_at THEN {K.BEFORE_CONTRAST}e0 WHEN pos>contrast_at
-   THEN {K.AFTER_CONTRAST}e0 ELSE 1e0 END) END AS v FROM {name}_four""")
+   THEN {K.AFTER_CONTRAST}e0 ELSE 1e0 END) END AS v FROM {name}_five""")
     cte(f"{name}_total", f"{name}_value {source}", f"""
 SELECT reviewid, recipeid, coalesce(u,0)/1e9 AS total FROM {source} LEFT JOIN
  (SELECT reviewid, CAST(sum({units('v', 9)}) AS BIGINT) AS u FROM {name}_value GROUP BY 1)

@@ -124,6 +124,22 @@ def read_taxonomy(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     return [(k, v) for k, v in pairs.items() if k]
 
 
+def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
+    """(word, valence) of a tab-separated lexicon: word, mean, further columns ignored.
+
+    A word given twice keeps its last entry, as the published reader does. Lines without a number
+    in the second column are left out.
+    """
+    parts = F.split("value", "\t")
+    entries = spark.read.text(path).select(
+        F.monotonically_increasing_id().alias("line"),
+        F.trim(F.get(parts, 0)).alias("word"),
+        F.trim(F.get(parts, 1)).try_cast("double").alias("valence"),
+    )
+    known = entries.where((F.col("word") != "") & F.col("valence").isNotNull())
+    return known.groupBy("word").agg(F.max_by("valence", "line").alias("valence"))
+
+
 def taxonomy_table(texts: DataFrame) -> DataFrame:
     """Rows (pos, term, category) from JSON text, for taxonomies kept in a table."""
     parsed = texts.select(

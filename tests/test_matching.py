@@ -106,3 +106,22 @@ def test_detailed_matches(spark, recipes, matches):
 def test_plan_has_no_cross_join(spark, recipes, matches):
     text = plan(matching.recipe_map(recipes, matches))
     assert "CartesianProduct" not in text and "NestedLoop" not in text and "Python" not in text
+
+
+def test_hot_ngrams_are_sliced_without_loss(spark, monkeypatch):
+    terms = [f"tomato{i}" for i in range(40)] + ["garlic"]
+    tokens = spark.createDataFrame([(t,) for t in ("tomato7", "tomatoes", "garlik", "zz")], "ingredient_token string")
+    vocabulary = matching.build_vocabulary(names(spark, terms), names(spark, []))
+    index = matching.ngram_index(vocabulary)
+
+    def best():
+        return sorted(map(tuple, matching.match_tokens(tokens, vocabulary, index).collect()))
+
+    whole = best()
+    monkeypatch.setattr(matching, "SLICE_TERMS", 3)
+    assert best() == whole
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert best() == whole
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -45,6 +45,14 @@ def test_rules(spark, lexicon):
         "no good": 1.9 * -0.74,
         "great good": 3.1 + 1.9,
         "plain words": 0.0,
+        "a b c bad ass": 1.5,
+        "b c bad ass": -2.5,
+        "x kind of good": 1.9 - 0.293,
+        "kind of good": 1.9,
+        "x just enough bad": -2.5 - 0.293,
+        "oh yeah right good": -2.0,
+        "of kiss of death": 0.0,
+        "not the bomb good": 3.0,
     }
     got = scores(spark, lexicon, list(cases))
     for text, score in zip(cases, got):

@@ -172,3 +172,9 @@ def test_two_taxonomy_files_are_refused(spark, tmp_path):
         (tmp_path / name).write_text("{}")
     with pytest.raises(ValueError):
         readers.read_taxonomy(spark, str(tmp_path))
+
+
+def test_lexicon_reader_keeps_the_last_entry(spark, tmp_path):
+    (tmp_path / "l.txt").write_text("good\t1.9\t0.5\t[1, 2]\nbad\t-2.5\n\nodd\nworse\tx\ngood\t2.1\n:)\t2.0\n")
+    rows = readers.read_lexicon(spark, str(tmp_path / "l.txt")).collect()
+    assert sorted(map(tuple, rows)) == [(":)", 2.0), ("bad", -2.5), ("good", 2.1)]
