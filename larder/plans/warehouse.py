@@ -276,7 +276,7 @@ class Warehouse:
             scores = sustainability.sustainability_scores(
                 self.recipe_matches(), self.season(), self.production(), spread_countries=True
             )
-            return write_by_country(scores, path)
+            return write_by_country(scores.withColumn("processed_at", F.current_timestamp()), path)
 
         return self._kept("gold_sustainability_path", build)
 
