@@ -21,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from larder.llm.batches import bound_batches
 from larder.sources.staging import stage
 
 RADIUS = 3
@@ -245,6 +246,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     stay repeated. A null id takes no part in the smallest id; a component of null ids only has a
     null component_id. Other columns are ignored, an empty table gives an empty result.
     """
+    bound_batches(docs.sparkSession)
     prints = stage(
         docs.select(
             F.col(id_column).alias("id"), fingerprint_column(F.col(text_column), shingle).alias("fp")
@@ -264,6 +266,7 @@ def deduplicate(docs: DataFrame, shingle: int = 3) -> DataFrame:
     Ties between rows of one id are broken by the fingerprint; of rows equal in both one stays.
     Columns and their order are those of ``docs``.
     """
+    bound_batches(docs.sparkSession)
     marked = stage(docs.withColumn("__fp", fingerprint_column(F.col("text"), shingle)), "marked")
     classes = stage(
         marked.groupBy(F.col("__fp").alias("fp")).agg(F.min("doc_id").alias("first_id")), "classes"

@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from larder.llm.batches import bound_batches
 from larder.sources.staging import stage
 
 THRESHOLD = 0.75
@@ -164,6 +165,7 @@ def line_counts(files: DataFrame, texts: list[tuple[str, str]]) -> tuple[int, di
 
 def detect(files: DataFrame, texts: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """``files`` (path, text, ...) without text, with license and score: what each states itself."""
+    bound_batches(files.sparkSession)
     texts = texts if texts is not None else templates()
     matcher = Matcher(texts, *line_counts(files, texts))
 

@@ -23,6 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from larder.llm.batches import bound_batches
 from larder.sources.staging import stage
 
 SAMPLE = 3_000
@@ -328,6 +329,7 @@ def main_text(page: str | None, model: Model) -> str:
 
 def train(pages: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on the pages of smallest hash of page_id; without marked blocks of both kinds weights are 0."""
+    bound_batches(pages.sparkSession)
     chosen = pages.select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(sample).distinct()
     picked = pages.select("page_id", "html").join(F.broadcast(chosen), "page_id")  # at most `sample` ids
 
@@ -373,6 +375,8 @@ def train(pages: DataFrame, sample: int = SAMPLE) -> Model:
 def extract(pages: DataFrame, model: Model) -> DataFrame:
     """``pages`` with ``text`` added (replacing a column of that name): one row for each row."""
 
+    bound_batches(pages.sparkSession)
+
     @F.pandas_udf("string")
     def text_of(htmls: pd.Series) -> pd.Series:
         return pd.Series([main_text(x, model) for x in htmls], dtype=object)

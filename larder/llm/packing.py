@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from larder.llm.batches import bound_batches
 from larder.sources.staging import stage
 
 WINDOW = 4096
@@ -34,7 +35,7 @@ END_ID = 2
 _ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 _CACHE_WORDS = 400_000
 _CACHE_LENGTH = 48
-_BATCH_CHARS = 3_000_000
+_BATCH_CHARS = 2_000_000
 
 
 class Encoder:
@@ -223,6 +224,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFram
     null or empty text has its end token only; a null source is a source; repeated rows are packed
     each; an empty table gives no piece.
     """
+    bound_batches(docs.sparkSession)
     tokens = stage(tokenise(docs, tokenizer_path), "tokens")
     queues = stage(_queues(tokens, window), "queues")
     placed = tokens.join(

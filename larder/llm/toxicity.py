@@ -21,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from larder.llm.batches import bound_batches
 from larder.sources.staging import stage
 
 SAMPLE = 12_000
@@ -125,6 +126,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     Null labels and ids are left out; of several labels of a document the largest counts.
     """
+    bound_batches(docs.sparkSession)
     chosen = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
@@ -202,6 +204,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     One row for each row of ``docs``; a null or empty text scores as one without a sentence: 0.
     Only the text enters a score.
     """
+    bound_batches(docs.sparkSession)
     scored = score_column(F.col("text"), model, threshold)
     return docs.select("doc_id", scored.alias("s")).select(
         "doc_id", "s.score", (F.col("s.score") >= THRESHOLD).cast("int").alias("predicted"), "s.offending"

@@ -32,6 +32,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from larder.llm.batches import bound_batches
 from larder.sources.staging import new_path, stage
 
 REVISIT_BYTES = 1000
@@ -186,6 +187,7 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
             if out is not None:
                 out.close()
 
+    bound_batches(pages.sparkSession)
     return stage(_with_revisits(pages).mapInPandas(write, LOCATED), "captures")
 
 
