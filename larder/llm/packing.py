@@ -19,6 +19,8 @@ common queue. So there are at most ``WINDOW`` + 1 queues.
 from __future__ import annotations
 
 import os
+import struct
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +39,24 @@ _CACHE_WORDS = 400_000
 _CACHE_LENGTH = 48
 _BATCH_CHARS = 2_000_000
 
+#: Words on which the short way to the model is tried.
+_PROBES = ("Hello", "hello,", "a", "Straße.", "ÉCOLE", "naïve", "Ångström", "日本語", "ΩΜΕΓΑ!", "ждать;", "longishwordofmanyparts")
+
+
+def _byte_chars() -> dict[int, str]:
+    """The character that byte-level tokenizers write for each byte: itself where it prints."""
+    printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printed]
+    return {b: chr(b) for b in printed} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_BYTE_CHARS = _byte_chars()
+
+
+def _plain(word: str) -> bool:
+    """Composed, and lowered letter by letter."""
+    return unicodedata.is_normalized("NFC", word) and "Σ" not in word and "İ" not in word
+
 
 class Encoder:
     """Token ids of texts as little-endian bytes (two a token where the vocabulary allows it).
@@ -56,19 +76,42 @@ class Encoder:
         self.mark, self.mark_id = next(((t.content, i) for i, t in special.items()), (None, None))
         alone = lambda x: self.tokenizer.encode(x, add_special_tokens=False).ids
         self.by_word = alone("a b") == alone("a\n\t b ") == alone("a") + alone("b") and alone(" .") == alone(".")
-
-    def _bytes(self, ids) -> bytes:
-        return np.asarray(ids, dtype=self.dtype).tobytes()
+        # Words of letters can go straight to the model if it then gives the same ids.
+        self.ends = {c: self._bytes(alone(c)) for c in ".,!?;:"}
+        self.direct = True
+        self.direct = self.by_word and all(self._direct(w) == self._bytes(alone(w)) for w in _PROBES)
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.dtype == '<u2' else 'I'}", *ids)
+
+    def _direct(self, word: str) -> bytes | None:
+        """Ids of a word of letters, with one mark behind it at most; None for any other word."""
+        stem, end = (word[:-1], word[-1]) if word[-1:] in self.ends else (word, "")
+        if not self.direct or not stem.isalpha() or not (stem.isascii() or _plain(stem)):
+            return None
+        low = stem.lower()
+        data = self.cache.get(low)
+        if data is None:
+            mapped = low if low.isascii() else low.encode().decode("latin-1").translate(_BYTE_CHARS)
+            data = self._bytes([t.id for t in self.tokenizer.model.tokenize(mapped)])
+            if len(low) <= _CACHE_LENGTH:
+                self.cache[low] = data
+        return data + self.ends[end] if end else data
 
     def _each(self, texts: list[str]) -> list[bytes]:
         return [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """Many short words are encoded as one text with a special token between them."""
+        """Words of letters go to the model; others are encoded as one text with marks between."""
+        out = {}
+        if self.direct:
+            for word in words:
+                if (data := self._direct(word)) is not None:
+                    out[word] = data
+        words = [w for w in words if w not in out]
         if self.mark is None:
-            return dict(zip(words, self._each(words)))
+            return out | dict(zip(words, self._each(words)))
         plain = [w for w in words if "<" not in w]
-        out = {}
         if plain:
             text = self.mark.join(plain)
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype)
