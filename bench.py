@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from larder.operators import segments, sentiment, serving, sustainability  # noqa: E402
 from larder.plans import settings as S  # noqa: E402
-from larder.plans.catalog import BASKET, CONTEXT, view  # noqa: E402
+from larder.plans.catalog import BASKET, CONTEXT, ingredients, view  # noqa: E402
 from larder.plans.warehouse import Warehouse  # noqa: E402
 
 
@@ -92,7 +92,7 @@ def main() -> None:
     timed("sustainability_all_contexts", w.sustainability)
     timed("serving_view", lambda: drain(view(w)))
     timed("basket_recommendations", lambda: drain(serving.basket_recommendations(w.gold(), *CONTEXT, S.BASKET)))
-    timed("basket_tiers", lambda: drain(serving.filter_by_basket(view(w), BASKET, S.FALLBACK_BASKET)))
+    timed("basket_tiers", lambda: drain(serving.filter_by_basket(view(w), BASKET, S.FALLBACK_BASKET, ingredients(w))))
     timed("top_recommendations", lambda: drain(serving.recommendations(w.gold(), *CONTEXT)))
     timed("ingredient_buckets", lambda: drain(serving.ingredient_buckets(w.recipe_map(), S.TAXONOMY)))
     result = {
