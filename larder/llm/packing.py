@@ -35,7 +35,7 @@ WINDOW = 4096
 END_ID = 2
 #: White space for str.split that tokenizers' \s does not know.
 _ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 250_000
 _CACHE_LENGTH = 48
 _BATCH_CHARS = 2_000_000
 

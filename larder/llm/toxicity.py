@@ -14,6 +14,7 @@ scored whole.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,7 +35,8 @@ PENALTY = 5e-5
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"\w+")
 PREFIXES = (4, 5, 6, 7)
-_KNOWN_WORDS = 200_000
+_KNOWN_WORDS = 100_000
+_TEXTS = 64
 
 
 def features(word: str) -> list[str]:
@@ -130,7 +132,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     chosen = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
-        .agg(F.max("toxic").alias("y"))
+        .agg(F.max((F.col("toxic") == 1).cast("int")).alias("y"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample)
     )
@@ -148,17 +150,21 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     def distinct_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [
-                (f, y)
-                for y, text in zip(batch["y"], batch["text"])
-                for f in {f for w in set(WORD.findall(text.lower())) for f in features(w)}
-            ]
-            yield pd.DataFrame(rows, columns=["word", "y"])
+            # A text has several times as many features as words, so few texts are held at a time.
+            for low in range(0, len(batch), _TEXTS):
+                part = batch.iloc[low : low + _TEXTS]
+                found = {0: Counter(), 1: Counter()}
+                for y, text in zip(part["y"], part["text"]):
+                    found[y].update({f for w in set(WORD.findall(text.lower())) for f in features(w)})
+                every = list(found[0].keys() | found[1].keys())
+                yield pd.DataFrame(
+                    {"word": every, "a": [found[1][f] for f in every], "b": [found[0][f] for f in every]}
+                )
 
     counts = (
-        texts.mapInPandas(distinct_features, "word string, y int")
+        texts.mapInPandas(distinct_features, "word string, a long, b long")
         .groupBy("word")
-        .agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
+        .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
         .where(F.col("a") + F.col("b") >= MIN_DOCUMENTS)
     )
     share = (F.col("a") + F.col("b")) / (n1 + n0)
