@@ -31,7 +31,10 @@ MIN_GROUP = 100
 REJECT = 1e-6
 MAX_STEPS = 8
 #: Standard deviation added to each coordinate: no rejection over differences smaller than a few of these.
-FLOOR = {"length": 0.10, "symbols": 0.60, "dup_lines": 1.20, "repeats": 1.20}
+#: The largest value of a coordinate, ``LARGEST``, must lie beyond sqrt(``CUTOFF``) of them, or its statistic
+#: could never reject a document.
+FLOOR = {"length": 0.10, "symbols": 0.60, "dup_lines": 0.14, "repeats": 0.07}
+LARGEST = {"length": math.inf, "symbols": math.inf, "dup_lines": 1.0, "repeats": MAX_REPEAT_PERCENT / 100}
 DIMS = tuple(FLOOR)
 #: Vectors are held as multiples of 1 / SCALE.
 SCALE = 10_000
@@ -108,8 +111,8 @@ def _vector() -> dict[str, Column]:
     values = {
         "length": F.log(F.greatest(F.col("word_chars"), F.lit(1)) / words),
         "symbols": F.log1p(100 * F.col("n_symbols") / words),
-        "dup_lines": F.log1p(100 * F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))),
-        "repeats": F.log1p(100 * F.col("n_repeat_words") / words),
+        "dup_lines": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
+        "repeats": F.col("n_repeat_words") / words,
     }
     return {k: F.round(v * SCALE).cast("long") for k, v in values.items()}
 

@@ -94,3 +94,26 @@ def test_empty_and_repeated_rows(spark):
     assert [r["kept"] for r in outliers.judge(df).collect()] == [True] * 5
     assert outliers.keep_good(df).count() == 5
     assert outliers.CUTOFF == pytest.approx(33.377, abs=0.01)
+
+
+def test_every_statistic_can_reject_alone(spark):
+    assert all(outliers.LARGEST[d] > outliers.CUTOFF**0.5 * outliers.FLOOR[d] for d in outliers.DIMS)
+    rng = random.Random(7)
+    rows = corpus(rng, 150, "s")
+    new = lambda: "w" * rng.randrange(2, 9) + str(rng.randrange(10**6))
+    fill = [" ".join(new() for _ in range(100)) for _ in range(3)]
+    again = " ".join(new() for _ in range(40))
+    some = " ".join(new() for _ in range(4))
+    extreme = [
+        " ".join("x" * 60 + str(i) for i in range(80)),
+        " ".join(new() + "###$$$" for _ in range(90)),
+        " ".join(new() for _ in range(300)) + "\na b" * 60,  # nearly all lines are copies, most words are new
+        f"{fill[0]} {again} {again}",
+    ]
+    mild = [fill[2] + ("\n" + some) * 3 + "\n" + "\n".join(new() for _ in range(20)), fill[1] + " " + some + " " + some]
+    texts = [r[0] for r in rows] + mild + extreme
+    df = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in outliers.judge(df).collect()}
+    clean = len(rows) + len(mild)
+    assert all(got[i]["kept"] for i in range(clean))
+    assert not any(got[i]["kept"] or got[i]["base_failed"] for i in range(clean, len(texts)))
