@@ -14,6 +14,7 @@ scripts, styles, forms and the like are never content.
 from __future__ import annotations
 
 import html as entities
+import itertools
 import re
 from collections import deque
 from collections.abc import Iterator
@@ -39,6 +40,9 @@ INLINE = frozenset(
     "small span strike strong sub sup time tt u var wbr br img".split()
 )
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg math".split())
+#: What may stand in a head; any other element or text ends one whose end tag is left out.
+METADATA = frozenset("base head link meta noframes noscript script style template title".split())
+FOREIGN = frozenset(("svg", "math"))
 UNSEEN = frozenset("head form button select option input object canvas audio video datalist dialog fieldset".split()) | RAW
 OFF_TAGS = frozenset("nav footer aside header menu".split())
 ON_TAGS = frozenset(("article", "main"))
@@ -50,6 +54,8 @@ OFF_WORDS = frozenset(
     "popup modal newsletter subscribe subscription signup login share sharing social toolbar pagination pager "
     "copyright legal disclaimer skip hidden tags meta rating ratings review reviews".split()
 )
+#: Words that make the words after them in a name a matter of layout: "no-sidebar", "overflow-hidden".
+MODIFIERS = frozenset("no not without with has have overflow".split())
 ROLES_OFF = frozenset("navigation banner contentinfo complementary search alert dialog menu menubar form toolbar".split())
 #: Elements that end an open p, and elements that end an open one of their own kind.
 ENDS_P = frozenset(
@@ -87,6 +93,12 @@ class Block:
     heading: bool = False
 
 
+def _name_words(name: str) -> set[str]:
+    """Words of one class or id up to the first layout modifier."""
+    words = WORDS_OF_NAME.findall(CAMEL.sub(" ", name).lower())
+    return set(itertools.takewhile(lambda w: w not in MODIFIERS, words))
+
+
 def _open(tag: str, attributes: str, parent: Node) -> Node:
     node = Node(tag, parent, parent.depth + 1, parent.on, parent.off, parent.unseen)
     off, on = tag in OFF_TAGS, tag in ON_TAGS
@@ -94,13 +106,16 @@ def _open(tag: str, attributes: str, parent: Node) -> Node:
         off = False  # an article's own heading
     if tag in UNSEEN:
         node.unseen = True
+    words: set[str] = set()
+    # A name of ON words alone, as in id="content", holds against OFF words in the wrapper's other names.
+    sure = tag == "main"
     if attributes and tag not in ("html", "body"):
         for name, *values in ATTRIBUTE.findall(attributes):
             name, value = name.lower(), "".join(values)
             if name in ("class", "id"):
-                words = set(WORDS_OF_NAME.findall(CAMEL.sub(" ", value).lower()))
-                off = off or bool(words & OFF_WORDS) and not (tag in ON_TAGS and words & ON_WORDS)
-                on = on or bool(words & ON_WORDS)
+                for one in map(_name_words, value.split()):
+                    words |= one
+                    sure = sure or bool(one & ON_WORDS) and not one & OFF_WORDS
             elif name == "role":
                 off = off or value.lower() in ROLES_OFF
                 on = on or value.lower() in ("main", "article")
@@ -108,6 +123,8 @@ def _open(tag: str, attributes: str, parent: Node) -> Node:
                 node.unseen = True
             elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 node.unseen = True
+    on = on or bool(words & ON_WORDS)
+    off = off or "hidden" in words or bool(words & OFF_WORDS) and not (sure or tag in ON_TAGS and words & ON_WORDS)
     # What stands inside a boilerplate part stays so: a comment's own article is no main text.
     node.off = parent.off or off
     node.on = (parent.on or on) and not node.off
@@ -129,9 +146,16 @@ def blocks(page: str) -> list[Block]:
                 out.append(Block(text, here, linked, bool(re.fullmatch("h[1-6]", here.tag))))
             parts, linked = [], 0
 
+    def leave_head() -> None:
+        nonlocal here
+        while here.tag == "head":
+            here = here.parent
+
     while at < length:
         m = TOKEN.search(page, at)
         stop = m.start() if m else length
+        if here.tag == "head" and page[at:stop].strip():
+            leave_head()
         if stop > at and not here.unseen:
             parts.append(page[at:stop])
             if links:
@@ -155,6 +179,8 @@ def blocks(page: str) -> list[Block]:
             if node.parent is not None:
                 here, links = node.parent, 0
             continue
+        if tag not in METADATA:
+            leave_head()
         if tag in INLINE:
             if tag == "br":
                 parts.append(" ")
@@ -186,7 +212,11 @@ def blocks(page: str) -> list[Block]:
             here = node
         opened = _open(tag, m[2], here)
         if tag in RAW:
+            if tag in FOREIGN and m[0].endswith("/>"):
+                continue
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            if tag in FOREIGN and not end:
+                continue
             at = end.end() if end else length
             continue
         here = opened

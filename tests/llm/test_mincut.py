@@ -60,3 +60,20 @@ def test_extract_learns_and_keeps_rows(spark):
     assert by[100].split("\n") == [f"{' '.join(words)} And so on, {j}." for j in range(5)]
     empty = df.limit(0)
     assert mincut.extract(empty, mincut.train(empty)).count() == 0
+
+
+def test_valid_pages_that_leave_tags_out_or_name_their_layout():
+    text = lambda page: mincut.main_text(page, mincut.Model())
+    for raw in ("<svg class='i' viewBox='0 0 1 1'/>", "<math/>", "<svg><path/></svg>"):
+        assert text(f"<article><p>One.</p>{raw}<p>Two.</p><svg></svg><p>Three.</p></article>") == "One.\nTwo.\nThree."
+    assert text("<article><p>One.</p><svg><p>Two.</p></article>") == "One.\nTwo."
+    for head in ("<html><head><title>x</title>", "<head><meta charset=u><title>x</title><style>p{}</style>\n<!-- y -->"):
+        assert text(head + "<article><p>One.<p>Two.</article>") == "One.\nTwo."
+        assert text(head + "</head><body><article>One.</article></body>") == "One."
+        assert [b.text for b in mincut.blocks(head + "Bare <b>text</b><p>One.")] == ["Bare text", "One."]
+        assert [b.text for b in mincut.blocks(head + "<p>One.")] == ["One."]
+    for wrapper in ("div id='content' class='no-sidebar'", "main class='with-sidebar'", "div class='content hasSidebar'",
+                    "div class='sidebar-right' id=content", "main class='sidebar-left'", "div class='entry overflow-hidden'"):
+        assert text(f"<{wrapper}><p>One.</p></{wrapper.split()[0]}>") == "One.", wrapper
+    for wrapper in ("div class='comment-body'", "div class='content hidden'", "nav id=main", "article class=comment", "div class='sidebar no-content'"):
+        assert text(f"<{wrapper}><p>One.</p></{wrapper.split()[0]}>") == "", wrapper
