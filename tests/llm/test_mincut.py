@@ -77,3 +77,18 @@ def test_valid_pages_that_leave_tags_out_or_name_their_layout():
         assert text(f"<{wrapper}><p>One.</p></{wrapper.split()[0]}>") == "One.", wrapper
     for wrapper in ("div class='comment-body'", "div class='content hidden'", "nav id=main", "article class=comment", "div class='sidebar no-content'"):
         assert text(f"<{wrapper}><p>One.</p></{wrapper.split()[0]}>") == "", wrapper
+
+
+def test_prose_is_kept_where_no_page_marks_its_parts(spark):
+    prose = [f"Long ago, in town {i}, a baker and two sons of his sold bread to all who came by." for i in range(3)]
+    menu = "<div><a href=/>Home</a></div><div><a href=/n>News of today</a></div>"
+    plain = menu + "".join(f"<p>{x}</p>" for x in prose)
+    tables = "<table><tr><td>" + menu + "</td><td>" + "<br><br></td><td>".join(prose) + "</td></tr></table>"
+    only_content = "<article><p>" + "</p><p>".join(prose) + "</p></article>"
+    only_off = "<nav><a>Home</a></nav><footer>me</footer>"
+    for other in (None, only_content, only_off):
+        rows = [(0, plain), (1, tables)] + ([(2, other)] if other else [])
+        df = spark.createDataFrame(rows, "page_id long, html string")
+        got = {r["page_id"]: r["text"] for r in mincut.extract(df, mincut.train(df)).collect()}
+        assert got[0] == got[1] == "\n".join(prose)
+        assert got.get(2, "") == ("\n".join(prose) if other == only_content else "")
