@@ -9,6 +9,7 @@ from larder.llm.hashtree import op9_query
 from larder.llm.licenses import op1_query
 from larder.llm.mincut import op7_query
 from larder.llm.mixing import op3_query
+from larder.llm.negatives import OP11_SQL, op11_query
 from larder.llm.onebit import op6_query
 from larder.llm.outliers import op4_query
 from larder.llm.packing import op5_query
@@ -27,5 +28,6 @@ QUERIES = {
     "op8_noisy_or_toxicity": op8_query,
     "op9_hash_tree_shards": op9_query,
     "op10_simhash_bktree": op10_query,
+    "op11_slot_negatives": op11_query,
 }
-ORACLES: dict[str, str] = {"op2_warc_index": OP2_SQL}
+ORACLES: dict[str, str] = {"op2_warc_index": OP2_SQL, "op11_slot_negatives": OP11_SQL}
