@@ -15,6 +15,7 @@ from larder.llm.outliers import op4_query
 from larder.llm.packing import op5_query
 from larder.llm.toxicity import op8_query
 from larder.llm.warc import OP2_SQL, op2_query
+from larder.llm.whitening import op12_query
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -29,5 +30,6 @@ QUERIES = {
     "op9_hash_tree_shards": op9_query,
     "op10_simhash_bktree": op10_query,
     "op11_slot_negatives": op11_query,
+    "op12_cholesky_whitening": op12_query,
 }
 ORACLES: dict[str, str] = {"op2_warc_index": OP2_SQL, "op11_slot_negatives": OP11_SQL}
