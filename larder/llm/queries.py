@@ -13,6 +13,7 @@ from larder.llm.negatives import OP11_SQL, op11_query
 from larder.llm.onebit import op6_query
 from larder.llm.outliers import op4_query
 from larder.llm.packing import op5_query
+from larder.llm.personal import op13_query
 from larder.llm.toxicity import op8_query
 from larder.llm.warc import OP2_SQL, op2_query
 from larder.llm.whitening import op12_query
@@ -31,5 +32,6 @@ QUERIES = {
     "op10_simhash_bktree": op10_query,
     "op11_slot_negatives": op11_query,
     "op12_cholesky_whitening": op12_query,
+    "op13_semi_markov_pii": op13_query,
 }
 ORACLES: dict[str, str] = {"op2_warc_index": OP2_SQL, "op11_slot_negatives": OP11_SQL}
