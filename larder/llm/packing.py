@@ -25,6 +25,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
@@ -33,14 +35,15 @@ from larder.sources.staging import stage
 
 WINDOW = 4096
 END_ID = 2
-#: White space for str.split that tokenizers' \s does not know.
-_ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
+#: Texts that are encoded whole: with white space that tokenizers' \s does not know, or with marks
+#: that join a letter, as they stand or in lower case (they compose by case, and join other marks).
+_ODD = r"[\x1c-\x1f\pMİ]"
 _CACHE_WORDS = 250_000
 _CACHE_LENGTH = 48
 _BATCH_CHARS = 2_000_000
 
 #: Words on which the short way to the model is tried.
-_PROBES = ("Hello", "hello,", "a", "Straße.", "ÉCOLE", "naïve", "Ångström", "日本語", "ΩΜΕΓΑ!", "ждать;", "longishwordofmanyparts")
+_PROBES = ("Hello", "hello", "a", "Straße", "ÉCOLE", "naïve", "Ångström", "日本語", "ΩΜΕΓΑ", "ждать", "longishwordofmanyparts")
 
 
 def _byte_chars() -> dict[int, str]:
@@ -50,7 +53,7 @@ def _byte_chars() -> dict[int, str]:
     return {b: chr(b) for b in printed} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-_BYTE_CHARS = _byte_chars()
+_CHAR_OF = [_byte_chars()[b] for b in range(256)]
 
 
 def _plain(word: str) -> bool:
@@ -70,44 +73,45 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.dtype, self.code = ("<u2", "H") if self.tokenizer.get_vocab_size() <= 1 << 16 else ("<u4", "I")
         self.cache: dict[str, bytes] = {}
         special = self.tokenizer.get_added_tokens_decoder()
         self.mark, self.mark_id = next(((t.content, i) for i, t in special.items()), (None, None))
         alone = lambda x: self.tokenizer.encode(x, add_special_tokens=False).ids
         self.by_word = alone("a b") == alone("a\n\t b ") == alone("a") + alone("b") and alone(" .") == alone(".")
         # Words of letters can go straight to the model if it then gives the same ids.
-        self.ends = {c: self._bytes(alone(c)) for c in ".,!?;:"}
-        self.direct = True
-        self.direct = self.by_word and all(self._direct(w) == self._bytes(alone(w)) for w in _PROBES)
+        self.direct = self.by_word and all(
+            run == self._bytes(alone(w)) and alone(w + c) == alone(w) + alone(c)
+            for w, run in self._direct(list(_PROBES)).items()
+            for c in ".,!?;:"
+        )
 
     def _bytes(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{'H' if self.dtype == '<u2' else 'I'}", *ids)
-
-    def _direct(self, word: str) -> bytes | None:
-        """Ids of a word of letters, with one mark behind it at most; None for any other word."""
-        stem, end = (word[:-1], word[-1]) if word[-1:] in self.ends else (word, "")
-        if not self.direct or not stem.isalpha() or not (stem.isascii() or _plain(stem)):
-            return None
-        low = stem.lower()
-        data = self.cache.get(low)
-        if data is None:
-            mapped = low if low.isascii() else low.encode().decode("latin-1").translate(_BYTE_CHARS)
-            data = self._bytes([t.id for t in self.tokenizer.model.tokenize(mapped)])
-            if len(low) <= _CACHE_LENGTH:
-                self.cache[low] = data
-        return data + self.ends[end] if end else data
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
+    def _direct(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of the words that are letters only."""
+        tokenize, ids, ends, done = self.tokenizer.model.tokenize, [], [0], []
+        for word in words:
+            if word.isalpha():
+                if word.isascii():
+                    mapped = word.lower()
+                elif _plain(word):
+                    mapped = "".join([_CHAR_OF[b] for b in word.lower().encode()])
+                else:
+                    continue
+                ids += [t.id for t in tokenize(mapped)]
+                ends.append(len(ids))
+                done.append(word)
+        size, data = struct.calcsize(self.code), np.array(ids, self.dtype).tobytes()
+        return {word: data[a * size : b * size] for word, a, b in zip(done, ends, ends[1:])}
 
     def _each(self, texts: list[str]) -> list[bytes]:
         return [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
         """Words of letters go to the model; others are encoded as one text with marks between."""
-        out = {}
-        if self.direct:
-            for word in words:
-                if (data := self._direct(word)) is not None:
-                    out[word] = data
+        out = self._direct(words) if self.direct else {}
         words = [w for w in words if w not in out]
         if self.mark is None:
             return out | dict(zip(words, self._each(words)))
@@ -125,18 +129,41 @@ class Encoder:
         out.update(zip(rest, self._each(rest)))
         return out
 
+    def _runs(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, looked up or learnt."""
+        if len(self.cache) > _CACHE_WORDS:  # words of this batch are likely to come again
+            self.cache = {w: self.cache[w] for w in words if w in self.cache}
+        look = self.cache.get
+        found = [look(w) for w in words]
+        learnt = self._learn([w for w, run in zip(words, found) if run is None])
+        self.cache.update((w, b) for w, b in learnt.items() if len(w) <= _CACHE_LENGTH)
+        return [learnt[w] if run is None else run for w, run in zip(words, found)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
+        """Words are split and numbered in Arrow; only a batch's distinct words are looked at one by one."""
         if not self.by_word:
             return self._each(texts)
-        split = [None if any(c in x for c in _ODD_SPACE) else x.split() for x in texts]
-        seen = set().union(*(s for s in split if s is not None))
-        if len(self.cache) > _CACHE_WORDS:  # words of this batch are likely to come again
-            self.cache = {w: self.cache[w] for w in seen if w in self.cache}
-        learnt = self._learn(list(seen.difference(self.cache)))
-        self.cache.update((w, b) for w, b in learnt.items() if len(w) <= _CACHE_LENGTH)
-        long = {w: b for w, b in learnt.items() if len(w) > _CACHE_LENGTH}
-        look = self.cache.__getitem__ if not long else lambda w: long[w] if w in long else self.cache[w]
-        return [self._each([x])[0] if s is None else b"".join(map(look, s)) for x, s in zip(texts, split)]
+        column = pa.array(texts, pa.large_string())
+        odd = pc.match_substring_regex(column, _ODD)
+        column = pc.if_else(odd, "", column)
+        if self.direct:
+            # Fewer distinct words: no capital letters, no mark behind a word.
+            column = pc.replace_substring_regex(pc.ascii_lower(column), r"(\pL)([.,!?;:])(\s|$)", r"\1 \2\3")
+        split = pc.utf8_split_whitespace(column)
+        coded = split.values.dictionary_encode()
+        index = coded.indices.to_numpy()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        blank = words.index("") if "" in words else None  # outer white space
+        runs = self._runs([w for w in words if w])
+        if blank is not None:
+            runs.insert(blank, b"")
+        ends = np.append(0, np.cumsum(np.fromiter(map(len, runs), np.int64, len(runs))[index]))
+        ids = b"".join([runs[i] for i in index.tolist()])
+        borders = ends[split.offsets.to_numpy()].tolist()
+        out = [ids[a:b] for a, b in zip(borders, borders[1:])]
+        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
+            out[i] = self._each([texts[i]])[0]
+        return out
 
 
 _encoders: dict[str, Encoder] = {}

@@ -29,6 +29,23 @@ def test_encoder_equals_the_tokenizer():
         assert got == [reference(t) for t in TEXTS]
 
 
+PARTS = [
+    "A", "é", "E\u0301", "h\u0331", "H\u0331", "ß", "İ", "Σ", "ΑΣ", "σ", "ς", "'s", "'S", "'t", "'LL", "it's", ".", ",", "!", "a.", "B,",
+    "c!?", "x;y", "1", "12", "ⅷ", "½", " ", " ", "\n", "\t", "\u00a0", "\u3000", "\x1c", "\x85", "\u2028", "<", "</s>", "日本", "Ж", "😀",
+    "K", "ﬁ", "a" * 60, "_", "-", "w.\u00a0", "#",
+]
+
+
+def test_encoder_on_random_texts():
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 12))) for _ in range(15000)]
+    encoder = packing.Encoder(PATH)
+    assert encoder.by_word and encoder.direct
+    want = encoder._each(texts)
+    wrong = [(t, x, y) for t, x, y in zip(texts, encoder.encode(texts), want) if x != y]
+    assert not wrong, wrong[:3]
+
+
 def test_full_cache_keeps_results(monkeypatch):
     monkeypatch.setattr(packing, "_CACHE_WORDS", 3)
     encoder = packing.Encoder(PATH)
