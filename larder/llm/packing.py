@@ -38,7 +38,7 @@ END_ID = 2
 #: Texts that are encoded whole: with white space that tokenizers' \s does not know, or with marks
 #: that join a letter, as they stand or in lower case (they compose by case, and join other marks).
 _ODD = r"[\x1c-\x1f\pMİ]"
-_CACHE_WORDS = 250_000
+_CACHE_WORDS = 600_000
 _CACHE_LENGTH = 48
 _BATCH_CHARS = 2_000_000
 
