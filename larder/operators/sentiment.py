@@ -1,8 +1,8 @@
 """Rule-based review sentiment and its aggregation.
 
-Every word is looked at together with its neighbours, which are taken from the word array
-before it is exploded. Scoring a review therefore needs no window: with a small lexicon only the
-per-review sum of integer valence units is exchanged.
+Words meet the lexicon in one join; what it does not know ends there. A hit takes the spelling of its
+neighbours from the word array, and learns from the other hits of its review, in order of position,
+which of them have a value themselves.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from larder import constants as K
 from larder.functions import numeric, text
 
 UNIT_PLACES = 9
+#: Lexicon entries (a word and a number) that are broadcast; published lexicons have under 10,000.
+BROADCAST_ENTRIES = 500_000
 
 
 @dataclass(frozen=True)
@@ -29,116 +31,162 @@ class SentimentRules:
     phrase_boosters: tuple[tuple[str, float], ...] = K.PHRASE_BOOSTERS
 
 
-def adjusted_valence(rules: SentimentRules) -> Column:
-    """Valence of word ``w0`` given up to three words before it (``w1`` is the nearest).
+@dataclass(frozen=True)
+class Hit:
+    """A word of the lexicon with what its neighbours' spelling says, before their own values are known."""
 
-    ``v0``..``v3`` and ``vn`` are the lexicon values of these words and of the next one, ``wn``
-    and ``wn2`` the two words that follow. Phrases count where the third word before exists and has
-    no value itself; of several that match, the one furthest ahead counts.
-    """
-    w = {d: F.coalesce(f"w{d}", F.lit("")) for d in (1, 2, 3)}
+    words: Column
+    at: Column
+    valence: Column
+    rules: SentimentRules
 
-    def applies(distance: int) -> Column:
-        """The word exists and is not in the lexicon itself."""
-        return F.col(f"w{distance}").isNotNull() & F.col(f"v{distance}").isNull()
+    def word(self, distance: int) -> Column:
+        """The word ``distance`` before this one (negative: behind); null beyond the text."""
+        return F.get(self.words, self.at - F.lit(distance))
 
-    def boost(distance: int) -> Column:
+    def boost(self, distance: int) -> Column:
+        word = self.word(distance)
         return (
-            F.when(applies(distance) & w[distance].isin(*rules.boosters_up), F.lit(K.BOOST_UP))
-            .when(applies(distance) & w[distance].isin(*rules.boosters_down), F.lit(K.BOOST_DOWN))
+            F.when(word.isin(*self.rules.boosters_up), F.lit(K.BOOST_UP))
+            .when(word.isin(*self.rules.boosters_down), F.lit(K.BOOST_DOWN))
             .otherwise(F.lit(0.0))
         )
 
-    def factor(distance: int) -> Column:
-        negated = w[distance].isin(*rules.negations)
+    def factor(self, distance: int) -> Column:
+        word = F.coalesce(self.word(distance), F.lit(""))
+        negated = word.isin(*self.rules.negations)
         if distance == 1:
-            chosen = F.when(negated, F.lit(K.NEGATION_FACTOR))
-        else:
-            nearer = [w[d] for d in range(1, distance)]
-            emphasis, doubt = F.lit(False), F.lit(False)
-            for word in nearer:
-                emphasis = emphasis | word.isin("so", "this")
-                doubt = doubt | (word == "doubt")
-            chosen = (
-                F.when((w[distance] == "never") & emphasis, F.lit(K.NEVER_FACTOR))
-                .when((w[distance] == "without") & doubt, F.lit(1.0))
-                .when(negated, F.lit(K.NEGATION_FACTOR))
-            )
-        return F.when(applies(distance), F.coalesce(chosen, F.lit(1.0))).otherwise(F.lit(1.0))
-
-    after_no = (
-        (w[1] == "no") | (w[2] == "no") | ((w[3] == "no") & w[1].isin("or", "nor"))
-    )
-    silent = (
-        F.col("w0").isin(*rules.boosters_up, *rules.boosters_down)
-        | ((F.col("w0") == "kind") & (F.coalesce("wn", F.lit("")) == "of"))
-        | ((F.col("w0") == "no") & F.col("vn").isNotNull())
-    )
-    value = F.col("v0") * F.when(after_no, F.lit(K.NEGATION_FACTOR)).otherwise(F.lit(1.0))
-    for distance in (1, 2, 3):
-        sign = F.when(value < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-        pushed = value + boost(distance) * F.lit(K.DAMPING[distance - 1]) * sign
-        value = pushed * factor(distance)
-    value = F.when(applies(3), phrased(value, rules)).otherwise(value)
-    least = (w[1] == "least") & F.col("v1").isNull() & ~w[2].isin("at", "very")
-    contrast = (
-        F.when(F.col("pos") < F.col("contrast_at"), F.lit(K.BEFORE_CONTRAST))
-        .when(F.col("pos") > F.col("contrast_at"), F.lit(K.AFTER_CONTRAST))
-        .otherwise(F.lit(1.0))
-    )
-    value = value * F.when(least, F.lit(K.NEGATION_FACTOR)).otherwise(F.lit(1.0)) * contrast
-    return F.when(silent | F.col("v0").isNull(), F.lit(0.0)).otherwise(value)
+            return F.when(negated, F.lit(K.NEGATION_FACTOR)).otherwise(F.lit(1.0))
+        emphasis, doubt = F.lit(False), F.lit(False)
+        for nearer in range(1, distance):
+            between = F.coalesce(self.word(nearer), F.lit(""))
+            emphasis = emphasis | between.isin("so", "this")
+            doubt = doubt | (between == "doubt")
+        return (
+            F.when((word == "never") & emphasis, F.lit(K.NEVER_FACTOR))
+            .when((word == "without") & doubt, F.lit(1.0))
+            .when(negated, F.lit(K.NEGATION_FACTOR))
+            .otherwise(F.lit(1.0))
+        )
 
+    def value(self) -> Column:
+        w1, w2, w3 = (F.coalesce(self.word(d), F.lit("")) for d in (1, 2, 3))
+        after_no = (w1 == "no") | (w2 == "no") | ((w3 == "no") & w1.isin("or", "nor"))
+        return self.valence * F.when(after_no, F.lit(K.NEGATION_FACTOR)).otherwise(F.lit(1.0))
 
-def phrased(value: Column, rules: SentimentRules) -> Column:
-    """Value of a word after idioms and phrase boosters."""
+    def silent(self) -> Column:
+        word = self.word(0)
+        kind_of = (word == "kind") & (F.coalesce(self.word(-1), F.lit("")) == "of")
+        return word.isin(*self.rules.boosters_up, *self.rules.boosters_down) | kind_of
 
-    def phrase(*names: str) -> Column:
-        # Null when one of the words is missing.
-        return F.concat(*[p for n in names for p in (F.lit(" "), F.col(n))][1:])
+    def least(self) -> Column:
+        w1, w2 = (F.coalesce(self.word(d), F.lit("")) for d in (1, 2))
+        return F.when((w1 == "least") & ~w2.isin("at", "very"), F.lit(K.NEGATION_FACTOR)).otherwise(F.lit(1.0))
 
-    def listed(sequence: Column, entries: tuple[tuple[str, float], ...]) -> Column:
-        found = F.lit(None).cast("double")
-        for text_, number in entries:
-            found = F.when(sequence == text_, F.lit(float(number))).otherwise(found)
-        return found
+    def contrast(self, contrast_at: Column) -> Column:
+        return (
+            F.when(self.at < contrast_at, F.lit(K.BEFORE_CONTRAST))
+            .when(self.at > contrast_at, F.lit(K.AFTER_CONTRAST))
+            .otherwise(F.lit(1.0))
+        )
 
-    before = [("w1", "w0"), ("w2", "w1", "w0"), ("w2", "w1"), ("w3", "w2", "w1"), ("w3", "w2")]
-    ahead = [("w0", "wn", "wn2"), ("w0", "wn")]
-    if rules.idioms:
-        value = F.coalesce(*[listed(phrase(*names), rules.idioms) for names in ahead + before], value)
-    for names in (("w3", "w2", "w1"), ("w3", "w2"), ("w2", "w1")) if rules.phrase_boosters else ():
-        value = value + F.coalesce(listed(phrase(*names), rules.phrase_boosters), F.lit(0.0))
-    return value
+    def _listed(self, distances: tuple[int, ...], entries: tuple[tuple[str, float], ...]) -> Column:
+        # Null when one of the words is missing. The table is a constant, so a phrase is spelled once.
+        spaced = [part for d in distances for part in (F.lit(" "), self.word(d))][1:]
+        table = F.create_map(*[F.lit(x) for text_, number in dict(entries).items() for x in (text_, float(number))])
+        return F.try_element_at(table, F.concat(*spaced))
+
+    def idiom(self) -> Column:
+        """Value of the phrase around the word; of several that match, the one furthest ahead."""
+        around = ((0, -1, -2), (0, -1), (1, 0), (2, 1, 0), (2, 1), (3, 2, 1), (3, 2))
+        if not self.rules.idioms:
+            return F.lit(None).cast("double")
+        return F.coalesce(*[self._listed(d, self.rules.idioms) for d in around])
+
+    def phrase_boosts(self) -> list[Column]:
+        before = ((3, 2, 1), (3, 2), (2, 1)) if self.rules.phrase_boosters else ()
+        return [F.coalesce(self._listed(d, self.rules.phrase_boosters), F.lit(0.0)) for d in before]
+
+    def struct(self, contrast_at: Column) -> Column:
+        fields = [self.at.alias("pos"), self.value().alias("value"), self.silent().alias("silent")]
+        fields += [(self.word(0) == "no").alias("no"), self.least().alias("least")]
+        fields += [self.contrast(contrast_at).alias("contrast"), self.idiom().alias("idiom")]
+        for d in (1, 2, 3):
+            fields += [self.boost(d).alias(f"boost{d}"), self.factor(d).alias(f"factor{d}")]
+        fields += [F.coalesce(self.word(3).isNotNull(), F.lit(False)).alias("third")]
+        fields += [extra.alias(f"extra{i}") for i, extra in enumerate(self.phrase_boosts())]
+        return F.struct(*fields)
+
+
+def adjusted_valence(hits: Column, hit: Column, index: Column, extras: int) -> Column:
+    """Valence of a hit; neighbours that are hits of the same review neither boost nor negate it.
+
+    ``hits`` is in order of position, so a hit up to three words before is one of the three entries
+    before. Phrases count where the third word before exists and is no hit itself.
+    """
 
+    def is_hit(distance: int) -> Column:
+        found = F.lit(False)
+        for back in range(1, distance + 1) if distance > 0 else (-1,):
+            other = F.get(hits, index - F.lit(back))["pos"]
+            found = found | F.coalesce(other == hit["pos"] - F.lit(distance), F.lit(False))
+        return found
 
-def word_contexts(
-    reviews: DataFrame, keys: list[str], review: str, rules: SentimentRules
-) -> DataFrame:
-    """One row per word with its neighbours; a review without words keeps one."""
-    tokens = F.col("_words")
-    places = F.when(F.size(tokens) > 0, F.sequence(F.lit(0), F.size(tokens) - 1))
-    contexts = F.transform(
-        places,
-        lambda i: F.struct(
-            i.alias("pos"),
-            F.get(tokens, i).alias("w0"),
-            F.get(tokens, i - 1).alias("w1"),
-            F.get(tokens, i - 2).alias("w2"),
-            F.get(tokens, i - 3).alias("w3"),
-            F.get(tokens, i + 1).alias("wn"),
-            F.get(tokens, i + 2).alias("wn2"),
-        ),
-    )
-    return (
-        reviews.select(*keys, text.words(F.col(review)).alias("_words"))
-        .select(
-            *keys,
-            F.nullif(F.array_position("_words", rules.contrast), F.lit(0)).alias("_at"),
-            F.explode_outer(contexts).alias("c"),
+    steps = F.array(*[
+        F.struct(
+            (hit[f"boost{d}"] * F.lit(K.DAMPING[d - 1])).alias("boost"),
+            hit[f"factor{d}"].alias("factor"),
+            is_hit(d).alias("idle"),
         )
-        .select(*keys, (F.col("_at") - 1).alias("contrast_at"), "c.*")
-    )
+        for d in (1, 2, 3)
+    ])
+
+    def step(value: Column, by: Column) -> Column:
+        sign = F.when(value < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
+        return F.when(by["idle"], value).otherwise((value + by["boost"] * sign) * by["factor"])
+
+    value = F.aggregate(steps, hit["value"], step)
+    phrased = F.coalesce(hit["idiom"], value)
+    for i in range(extras):
+        phrased = phrased + hit[f"extra{i}"]
+    value = F.when(hit["third"] & ~is_hit(3), phrased).otherwise(value)
+    value = value * F.when(is_hit(1), F.lit(1.0)).otherwise(hit["least"]) * hit["contrast"]
+    return F.when(hit["silent"] | (hit["no"] & is_hit(-1)), F.lit(0.0)).otherwise(value)
+
+
+def _words(reviews: DataFrame, keys: list[str], review: str, rules: SentimentRules) -> DataFrame:
+    found = F.nullif(F.array_position("_words", rules.contrast), F.lit(0)) - 1
+    rows = reviews.select(*keys, text.words(F.col(review)).alias("_words"))
+    return rows.withColumn("_contrast_at", found)
+
+
+def _hits_beside_words(reviews: DataFrame, entries: DataFrame, keys: list[str], rules: SentimentRules) -> DataFrame:
+    """(keys, hits) with a lexicon that fits into every task: words that miss it end in the join.
+
+    Neighbours are looked up in the word array that stays beside the exploded words, for hits only.
+    """
+    rows = reviews.select(*keys, "_words", "_contrast_at", F.posexplode_outer("_words").alias("_pos", "_word"))
+    rows = rows.join(F.broadcast(entries), "_word", "left")
+    # One row per review is kept, with a hit or without.
+    rows = rows.where(F.col("_valence").isNotNull() | F.coalesce(F.col("_pos") == 0, F.lit(True)))
+    hit = Hit(F.col("_words"), F.col("_pos"), F.col("_valence"), rules).struct(F.col("_contrast_at"))
+    rows = rows.select(*keys, F.when(F.col("_valence").isNotNull(), hit).alias("_hit"))
+    return rows.groupBy(*keys).agg(F.sort_array(F.collect_list("_hit")).alias("_hits"))
+
+
+def _hits_shuffled(reviews: DataFrame, entries: DataFrame, keys: list[str], rules: SentimentRules) -> DataFrame:
+    """(keys, hits) with a lexicon of any size: words travel without their text, which waits for its hits."""
+    rows = reviews.select(*keys, F.posexplode("_words").alias("_pos", "_word")).join(entries, "_word")
+    found = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_pos", "_valence"))).alias("_found"))
+    sides = found.select(F.col("_found"), *[F.col(k).alias(f"_key_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    empty = F.array().cast("array<struct<_pos:int,_valence:double>>")
+
+    def with_context(f: Column) -> Column:
+        return Hit(F.col("_words"), f["_pos"], f["_valence"], rules).struct(F.col("_contrast_at"))
+
+    joined = reviews.join(sides, same, "left")
+    return joined.select(*keys, F.transform(F.coalesce("_found", empty), with_context).alias("_hits"))
 
 
 def score_reviews(
@@ -150,31 +198,27 @@ def score_reviews(
 ) -> DataFrame:
     """Score in [0, 100] per review; null or blank text scores exactly 50.
 
-    Words meet the lexicon in a join without a hint, so Catalyst broadcasts a small one and
-    shuffles a large one. Words without valence are dropped before their neighbours are looked up.
+    Words meet the lexicon once. ``keys`` name a review; each word stands once in the lexicon. Up to
+    ``BROADCAST_ENTRIES`` entries the lexicon is broadcast and only hits are exchanged, beyond that
+    it is joined by word.
     """
-    entries = lexicon.select(F.col("word"), F.col("valence").cast("double").alias("valence"))
-
-    def looked_up(df: DataFrame, word: str, value: str) -> DataFrame:
-        side = entries.select(F.col("word").alias(word), F.col("valence").alias(value))
-        return df.join(side, word, "left")
-
-    contexts = word_contexts(reviews, list(keys), review, rules)
-    rows = looked_up(contexts, "w0", "v0")
-    # Words without valence are dropped here, but one row per review is kept.
-    rows = rows.where(F.col("v0").isNotNull() | F.coalesce(F.col("pos") == 0, F.lit(True)))
-    for word, value in (("w1", "v1"), ("w2", "v2"), ("w3", "v3"), ("wn", "vn")):
-        rows = looked_up(rows, word, value)
-    units = numeric.scaled_long(adjusted_valence(rules), UNIT_PLACES)
-    total = F.col("units") / F.lit(float(10**UNIT_PLACES))
+    names = list(keys)
+    entries = lexicon.select(
+        F.col("word").alias("_word"), F.col("valence").cast("double").alias("_valence")
+    ).where("_valence is not null")
+    words = _words(reviews, names, review, rules)
+    small = entries.limit(BROADCAST_ENTRIES + 1).count() <= BROADCAST_ENTRIES
+    hits = (_hits_beside_words if small else _hits_shuffled)(words, entries, names, rules)
+    extras = 3 if rules.phrase_boosters else 0
+
+    def unit(hit: Column, index: Column) -> Column:
+        return numeric.scaled_long(adjusted_valence(F.col("_hits"), hit, index, extras), UNIT_PLACES)
+
+    units = F.aggregate(F.transform("_hits", unit), F.lit(0).cast("long"), lambda a, x: a + x)
+    total = F.col("_units") / F.lit(float(10**UNIT_PLACES))
     compound = total / F.sqrt(total * total + F.lit(K.NORMALISE_ALPHA))
-    return (
-        rows.groupBy(*keys)
-        .agg(F.sum(units).alias("units"))
-        .select(
-            *keys,
-            compound_to_score(numeric.round_half_up(compound, 4)).alias("sentiment_score"),
-        )
+    return hits.withColumn("_units", units).select(
+        *names, compound_to_score(numeric.round_half_up(compound, 4)).alias("sentiment_score")
     )
 
 

@@ -1,4 +1,5 @@
 import math
+import random
 
 import pandas as pd
 import pytest
@@ -63,9 +64,12 @@ def test_blank_reviews_are_neutral_and_kept(spark, lexicon):
     assert scores(spark, lexicon, [None, "", "   ", "zzz"]) == [50.0, 50.0, 50.0, 50.0]
 
 
-def test_large_lexicons_are_shuffled_and_agree(spark, lexicon):
-    reviews = ["good but bad", "not so great", None, "love no bad", "really a good good but great"]
+def test_large_lexicons_are_shuffled_and_agree(spark, lexicon, monkeypatch):
+    rng = random.Random(1)
+    vocabulary = ["good", "bad", "no", "love", "but", "not", "very", "so", "never", "least", "kind", "of", "x", "bad ass", "the bomb", "great"]
+    reviews = ["good but bad", None, "", "love no bad"] + [" ".join(rng.choices(vocabulary, k=rng.randint(0, 12))) for _ in range(150)]
     small = scores(spark, lexicon, reviews)
+    monkeypatch.setattr(sentiment, "BROADCAST_ENTRIES", 2)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert scores(spark, lexicon, reviews) == small
@@ -73,6 +77,11 @@ def test_large_lexicons_are_shuffled_and_agree(spark, lexicon):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_neighbours_with_a_value_of_their_own_do_not_act(spark):
+    lexicon = literal_table(spark, "word string, valence double", [*LEXICON, ("very", 0.5), ("not", -0.7)])
+    assert scores(spark, lexicon, ["not good", "very good", "not x good"]) == [expected(1.2), expected(1.9), expected(1.2)]
+
+
 def test_aggregate(spark):
     df = spark.createDataFrame([(1, 50.0), (1, 70.5), (2, 10.0)], "recipeid long, sentiment_score double")
     got = {r.recipeid: tuple(r)[1:] for r in sentiment.aggregate_by_recipe(df).collect()}
@@ -99,7 +108,7 @@ def test_incremental_scores_only_new_reviews(spark, lexicon):
 def test_one_shuffle_and_no_python(spark, lexicon):
     df = spark.createDataFrame([(1, 1, "good bad")], "id long, recipeid long, review string")
     text = plan(sentiment.score_reviews(df, lexicon, keys=("id", "recipeid")))
-    assert text.count("Exchange hashpartitioning") == 1
+    assert text.count("Exchange hashpartitioning") == 1 and text.count("HashJoin") == 1
     assert "Python" not in text and "Window" not in text
 
 
