@@ -73,10 +73,9 @@ def main() -> None:
     )
     timed("recommendation_score", w.recommendations)
     timed("segment_features", w.features)
-    vectors = segments.as_vectors(w.features(), segments.FEATURES)
 
     def segment():
-        drain(segments.elbow(vectors))
+        drain(segments.elbow(w.features(), segments.FEATURES))
         drain(segments.cluster(w.features(), segments.FEATURES))
 
     timed("clustering_elbow_and_final", segment)

@@ -61,6 +61,7 @@ SEGMENT_FALLBACK = "🌍 Global Kitchen"
 SEGMENT_COUNT = 5
 SEGMENT_SEED = 42
 SEGMENT_STARTS = 10
+SILHOUETTE_SAMPLE = 50_000
 ELBOW_RANGE = tuple(range(2, 9))
 TIME_CLIP_QUANTILE = 0.99
 

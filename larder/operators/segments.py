@@ -2,21 +2,16 @@
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
-
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from larder import constants as K
 from larder.functions import numeric
+from larder.operators import kmeans
 from larder.sources.staging import stage
 
 FEATURES = list(K.SEGMENT_FEATURES)
-PARALLEL_FITS = 8
-MAX_ITERATIONS, TOLERANCE = 300, 1e-4
 
 
 def feature_join(
@@ -78,35 +73,18 @@ def as_vectors(features: DataFrame, columns: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=columns, outputCol="features").transform(features)
 
 
-def fit_all(vectors: DataFrame, settings: list[tuple[int, int]]) -> list[KMeansModel]:
-    """Models for (k, seed) pairs. The fits are independent Spark jobs, submitted together."""
-    session = vectors.sparkSession
-
-    def fit(setting: tuple[int, int]) -> KMeansModel:
-        return KMeans(k=setting[0], seed=setting[1], maxIter=MAX_ITERATIONS, tol=TOLERANCE).fit(vectors)
-
-    with ThreadPool(min(PARALLEL_FITS, len(settings))) as pool:
-        return pool.map(inheritable_thread_target(session)(fit), settings)
-
-
-def cost(model: KMeansModel) -> float:
-    return float(model.summary.trainingCost)
+def fit_best(features: DataFrame, columns: list[str], k: int, seed: int, starts: int) -> kmeans.Fit:
+    """Fit with the lowest cost over several seeds."""
+    return min(kmeans.fit_all(features, columns, [(k, seed + i) for i in range(starts)]), key=lambda f: f.cost)
 
 
-def fit_best(vectors: DataFrame, k: int, seed: int, starts: int) -> KMeansModel:
-    """Model with the lowest cost over several seeds."""
-    return min(fit_all(vectors, [(k, seed + i) for i in range(starts)]), key=cost)
-
-
-def elbow(vectors: DataFrame, starts: int = K.SEGMENT_STARTS) -> DataFrame:
-    """Rows (k, inertia) for the usual range of k."""
-    cached = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+def elbow(features: DataFrame, columns: list[str], starts: int = K.SEGMENT_STARTS) -> DataFrame:
+    """Rows (k, inertia) for the usual range of k; all fits share their passes over the rows."""
     settings = [(k, K.SEGMENT_SEED + i) for k in K.ELBOW_RANGE for i in range(starts)]
     best: dict[int, float] = {}
-    for (k, _), model in zip(settings, fit_all(cached, settings)):
-        best[k] = min(cost(model), best.get(k, float("inf")))
-    cached.unpersist()
-    return vectors.sparkSession.createDataFrame(sorted(best.items()), "k int, inertia double")
+    for fit in kmeans.fit_all(features, columns, settings):
+        best[fit.k] = min(fit.cost, best.get(fit.k, float("inf")))
+    return features.sparkSession.createDataFrame(sorted(best.items()), "k int, inertia double")
 
 
 def centers_table(spark, centers) -> DataFrame:
@@ -129,13 +107,8 @@ def distances(assigned: DataFrame, centers: DataFrame, columns: list[str]) -> Da
 def cluster(features: DataFrame, columns: list[str], k: int = K.SEGMENT_COUNT,
             seed: int = K.SEGMENT_SEED, starts: int = K.SEGMENT_STARTS) -> DataFrame:
     """Cluster id and distance for each row; initial centres differ from other libraries."""
-    vectors = as_vectors(features, columns)
-    cached = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    model = fit_best(cached, k, seed, starts)
-    cached.unpersist()
-    assigned = model.transform(vectors).withColumnRenamed("prediction", "cluster_id")
-    centers = centers_table(features.sparkSession, model.clusterCenters())
-    return distances(assigned.drop("features"), centers, columns)
+    fit = fit_best(features, columns, k, seed, starts)
+    return kmeans.nearest(features, columns, fit.centers, "cluster_id", "distance_to_centroid")
 
 
 def silhouette(labelled: DataFrame, columns: list[str], cluster: str = "cluster_id") -> DataFrame:
@@ -149,6 +122,13 @@ def silhouette(labelled: DataFrame, columns: list[str], cluster: str = "cluster_
     )
 
 
+def euclidean_silhouette(
+    labelled: DataFrame, columns: list[str], cluster: str = "cluster_id", sample: int = K.SILHOUETTE_SAMPLE
+) -> DataFrame:
+    """Silhouette of given labels with Euclidean distance, over a sample of at most ``sample`` rows."""
+    return kmeans.silhouette(labelled, columns, cluster, sample)
+
+
 def embedding_features(embeddings: DataFrame, size: int) -> DataFrame:
     return embeddings.select(
         "vec_id", *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(size)]

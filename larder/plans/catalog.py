@@ -615,7 +615,7 @@ def _(w):
 
 @query("F6_elbow")
 def _(w):
-    return segments.elbow(segments.as_vectors(w.features(), segments.FEATURES))
+    return segments.elbow(w.features(), segments.FEATURES)
 
 
 @query("F7_kmeans")
@@ -649,6 +649,22 @@ def _(w):
     return found.select(r6("silhouette_squared_euclidean"))
 
 
+_GAPS = "+".join(f"(a.{c}-b.{c})*(a.{c}-b.{c})" for c in K.SEGMENT_FEATURES)
+
+
+@query("F8_silhouette_euclidean", using("assigned", f"""
+SELECT {rnd('avg(v)', 6)} AS silhouette_euclidean FROM
+ (SELECT recipeid, CASE WHEN any_value(own_n)=1 THEN 0e0 ELSE (min(other)-max(own))/greatest(min(other),max(own)) END AS v FROM
+  (SELECT recipeid, max(own_n) OVER (PARTITION BY recipeid) AS own_n, CASE WHEN same THEN total/greatest(n-1,1) END AS own,
+    CASE WHEN NOT same THEN total/n END AS other FROM
+   (SELECT a.recipeid, a.cluster_id=b.cluster_id AS same, count(*) AS n, sum(sqrt({_GAPS})) AS total,
+     CASE WHEN a.cluster_id=b.cluster_id THEN count(*) END AS own_n
+    FROM assigned a CROSS JOIN assigned b GROUP BY a.recipeid, a.cluster_id, b.cluster_id)) GROUP BY recipeid)"""))
+def _(w):
+    found = segments.euclidean_silhouette(w.assigned(), segments.FEATURES)
+    return found.select(r6("silhouette_euclidean"))
+
+
 @query("F12_fitted_segments")
 def _(w):
     """Fitted clusters through profiles and labels."""

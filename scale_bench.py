@@ -58,7 +58,7 @@ def main() -> None:
         features = stage(
             segments.build_features(segments.feature_join(scores, mood, recipe_map)), "features"
         )
-        drain(segments.elbow(segments.as_vectors(features, segments.FEATURES)))
+        drain(segments.elbow(features, segments.FEATURES))
         drain(segments.cluster(features, segments.FEATURES))
 
     long, recipe_map = timed("ingredient matching", match)
