@@ -329,11 +329,17 @@ def ingredient_buckets_v2(recipe_map: DataFrame, taxonomy: list[tuple[str, str]]
 
 
 def seasonal_products(
-    season: DataFrame, country: str, month: int, in_season_only: bool = False
+    season: DataFrame, country: str, month: int, in_season_only: bool = False, strict: bool = True
 ) -> DataFrame:
+    """Products listed for a country and month, with their flag.
+
+    A country and month that the source does not list raises; with ``strict=False`` it has no rows.
+    """
     rows = season.where(
         (F.col("country") == text.country_key(F.lit(country))) & (F.col("month_number") == month)
     )
+    if strict and rows.limit(1).isEmpty():
+        raise LookupError(f"no seasonal products for country {country!r}, month {month}")
     if in_season_only:
         rows = rows.where(F.col("is_in_season"))
     return rows.select("product_name", "is_in_season").distinct()
@@ -347,9 +353,14 @@ def specific_products(production: DataFrame) -> DataFrame:
     return production.where(~aggregate)
 
 
-def staples(production: DataFrame, country: str, top_n: int = 15) -> DataFrame:
-    """Largest products of a country in its latest year, without aggregate rows."""
+def staples(production: DataFrame, country: str, top_n: int = 15, strict: bool = True) -> DataFrame:
+    """Largest products of a country in its latest year, without aggregate rows.
+
+    A country that the source does not list raises; with ``strict=False`` it has no rows.
+    """
     rows = production.where(F.col("country_name") == country.lower().strip())
+    if strict and rows.limit(1).isEmpty():
+        raise LookupError(f"no production figures for country {country!r}")
     latest = rows.agg(F.max("year")).scalar()
     return (
         specific_products(rows.where(F.col("year") == latest))
@@ -374,7 +385,7 @@ def staples_by_country(production: DataFrame, top_n: int = 15) -> DataFrame:
 
 
 def countries(season: DataFrame, production: DataFrame) -> DataFrame:
-    """All country keys with one flag per source: a union and one aggregation."""
+    """All country keys in order, with one flag per source: a union and one aggregation."""
 
     def keys(df: DataFrame, column: str, in_season: bool) -> DataFrame:
         return df.where(F.col(column).isNotNull()).select(
@@ -388,6 +399,7 @@ def countries(season: DataFrame, production: DataFrame) -> DataFrame:
         .unionByName(keys(production, "country_name", False))
         .groupBy("country")
         .agg(F.bool_or("e").alias("eufic"), F.bool_or("f").alias("faostat"))
+        .orderBy("country")
     )
 
 

@@ -18,7 +18,7 @@ from larder.plans.sql import (
     std, using, values,
 )
 from larder.plans.warehouse import Warehouse
-from larder.sources import pages, readers, writers
+from larder.sources import csv_records, pages, readers, writers
 from larder.sources.schemas import lower_names, missing_columns, require_columns
 from larder.sources.staging import literal_table, new_path, stage
 
@@ -93,6 +93,18 @@ def _(w):
     return back.select("doc_id", F.md5("text").alias("digest"), F.length("text").alias("n"), "lang")
 
 
+@query("A2_csv_parallel", """
+SELECT doc_id, md5(text) AS digest, length(text) AS n, lang, n_chars, doc_id / 4 AS quarter, doc_id % 3 = 0 AS third FROM documents""")
+def _(w):
+    """One file with line breaks in quoted text: many tasks read it, and types come from its values."""
+    rows = w.driver("documents").select(
+        "doc_id", "text", "lang", "n_chars", (F.col("doc_id") / 4).alias("quarter"), (F.col("doc_id") % 3 == 0).alias("third")
+    )
+    path = writers.write_csv(rows.coalesce(1), new_path(w.spark, "documents-one-csv"))
+    back = csv_records.read_csv_parallel(w.spark, path)
+    return back.select("doc_id", F.md5("text").alias("digest"), F.length("text").alias("n"), "lang", "n_chars", "quarter", "third")
+
+
 @query("A3_projected_parquet", "SELECT o_orderkey, o_orderstatus FROM orders")
 def _(w):
     return readers.read_parquet(w.spark, f"{w.sf_dir}/orders.parquet", ["o_orderkey", "o_orderstatus"])

@@ -1,12 +1,14 @@
 import json
+import random
 import re
 
+import duckdb
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from conftest import plan
 from larder.operators import quality
-from larder.sources import pages, readers, schemas, staging, writers
+from larder.sources import csv_records, pages, readers, schemas, staging, writers
 
 
 def scores(spark):
@@ -33,6 +35,53 @@ def test_latest_extraction_folder(spark, tmp_path):
     assert readers.read_csv(spark, f"{path}/recipes.csv", spark.range(1).schema).count() == 1
 
 
+def small_ranges(spark, size):
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    for key in keys:
+        spark.conf.set(key, size)
+    return lambda: [spark.conf.unset(key) for key in keys]
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+def test_one_file_in_many_ranges_equals_the_read_by_one_task(spark, tmp_path, newline):
+    rng = random.Random(3)
+    parts = ["a", '""', ",", newline, newline * 3, " ", "é", "x" * 90, "''", "1"]
+    lines = ["id,text,n,share,flag,empty,mixed"]
+    for i in range(400):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        lines.append(f'{i},"{text}",{rng.choice(["", i * 3])},{i / 8},{rng.choice(["true", "False"])},,{rng.choice(["1", "b"])}')
+        if i % 50 == 0:
+            lines.append(f'{1000 + i},"{(newline + "long") * 300}",7,1e3,true,,c')  # across ranges
+    path = tmp_path / "one.csv"
+    path.write_bytes(newline.join(lines).encode())
+    schema = "id long, text string, n long, share double, flag boolean, empty string, mixed string"
+    whole = readers.read_csv(spark, str(path), T._parse_datatype_string(schema), multi_line=True).collect()
+    undo = small_ranges(spark, 700)
+    try:
+        assert csv_records.record_lines(spark, str(path)).select("range").distinct().count() > 30
+        given = csv_records.read_csv_parallel(spark, str(path), T._parse_datatype_string(schema)).collect()
+        inferred = csv_records.read_csv_parallel(spark, str(path))
+        got = inferred.collect()
+    finally:
+        undo()
+    assert sorted(map(tuple, given), key=repr) == sorted(map(tuple, whole), key=repr) and len(whole) == 408
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, whole), key=repr)
+    theirs = duckdb.sql(f"select * from read_csv('{path}', header=true, quote='\"', escape='\"', sample_size=-1)")
+    kinds = {"bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN", "string": "VARCHAR"}
+    assert [(n, kinds[t]) for n, t in inferred.dtypes] == list(zip(theirs.columns, map(str, theirs.types)))
+
+
+def test_files_without_rows_and_odd_names(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "a.csv").write_text('"na.me","na,me"\n1,2\n\n')
+    (tmp_path / "d" / "b.csv").write_text('"na.me","na,me"\n')
+    (tmp_path / "d" / "c.csv").write_text("")
+    got = csv_records.read_csv_parallel(spark, str(tmp_path / "d"))
+    assert got.dtypes == [("na.me", "bigint"), ("na,me", "bigint")] and [tuple(r) for r in got.collect()] == [(1, 2)]
+    (tmp_path / "e.csv").write_text("")
+    assert csv_records.read_csv_parallel(spark, str(tmp_path / "e.csv")).count() == 0
+
+
 def test_csv_keeps_quotes_newlines_and_blanks(spark, tmp_path):
     rows = [(1, 'say "hi",\nthen  go '), (2, " lead"), (3, "plain")]
     df = spark.createDataFrame(rows, "id long, t string")
