@@ -76,50 +76,52 @@ def min_max_columns(df: DataFrame, columns: list[str], suffix: str = "_scaled")
     return with_bounds.drop("_bounds")
 
 
-def exact_quantile(df: DataFrame, column: str, q: float) -> DataFrame:
-    """Exact linear-interpolated quantile as a one-row frame ``(quantile)``.
+def exact_quantiles(df: DataFrame, wanted: list[tuple[str, float]]) -> DataFrame:
+    """Exact linear-interpolated quantiles of several columns as a one-row frame ``(q0, q1, ...)``.
 
-    ``percentile`` keeps every distinct value in one buffer. Here a first pass brackets the
-    wanted ranks with an approximate sketch of known rank error; each end then moves to the next
-    distinct value outside, since neighbouring ranks may be wanted. A last pass counts the rows
-    below the bracket and the distinct values inside it. Only those few values are ranked.
+    ``percentile`` keeps every distinct value in one buffer. Here one pass brackets all wanted ranks
+    with sketches of known rank error, and one more counts, for each, the rows below the bracket,
+    the rows above it, and the distinct values inside; only those few values are ranked. Of the rows
+    outside, the value next to the bracket is kept too, since a rank may lie one place beyond it.
     """
     slack = 2.0 / QUANTILE_ACCURACY
-    values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
-    sketch = F.percentile_approx(
-        "v", [max(0.0, q - slack), min(1.0, q + slack)], QUANTILE_ACCURACY
-    )
-    near = values.agg(
-        F.struct(sketch[0].alias("lo"), sketch[1].alias("hi"), F.count("v").alias("n")).alias("near")
-    ).scalar()
-    lo, hi, n = F.col("near.lo"), F.col("near.hi"), F.col("near.n")
-    span = (
-        values.withColumn("near", near)
-        .agg(
-            F.struct(
-                F.coalesce(F.max(F.when(F.col("v") < lo, F.col("v"))), F.first(lo)).alias("lo"),
-                F.coalesce(F.min(F.when(F.col("v") > hi, F.col("v"))), F.first(hi)).alias("hi"),
-                F.first(n).alias("n"),
-            ).alias("span")
-        )
-        .scalar()
-    )
-    # Rows below the bracket share one null key; they are counted map-side.
+    columns = {f"v{i}": F.col(name).cast("double") for i, (name, _) in enumerate(wanted)}
+    values = df.select(*[value.alias(name) for name, value in columns.items()])
+    ends = []
+    for i, (_, q) in enumerate(wanted):
+        around = [max(0.0, q - slack), min(1.0, q + slack)]
+        ends.append(F.percentile_approx(f"v{i}", around, QUANTILE_ACCURACY).alias(f"e{i}"))
+    near = values.agg(F.struct(*ends).alias("near")).scalar()
+
+    def place(i: int) -> Column:
+        v, low, high = F.col(f"v{i}"), F.col(f"near.e{i}")[0], F.col(f"near.e{i}")[1]
+        side = F.when(v < low, F.lit(-1)).when(v > high, F.lit(1)).otherwise(F.lit(0))
+        return F.struct(F.lit(i).alias("i"), side.alias("side"), v.alias("v"))
+
+    places = F.filter(F.array(*[place(i) for i in range(len(wanted))]), lambda p: p["v"].isNotNull())
+    # Rows outside a bracket share one key for each side; they are counted map-side.
     counted = (
-        values.withColumn("span", span)
-        .where(F.col("v") <= F.col("span.hi"))
-        .groupBy(F.when(F.col("v") >= F.col("span.lo"), F.col("v")).alias("v"))
-        .agg(F.count("*").alias("rows"), F.first("span.n").alias("n"))
+        values.withColumn("near", near)
+        .select(F.inline(places))
+        .groupBy("i", "side", F.when(F.col("side") == 0, F.col("v")).alias("inside"))
+        .agg(F.count("*").alias("rows"), F.max("v").alias("most"), F.min("v").alias("least"))
+        .withColumn("value", F.when(F.col("side") < 0, F.col("most")).otherwise(F.col("least")))
     )
-    running = counted.withColumn(
-        "upto", F.sum("rows").over(W.orderBy(F.col("v").asc_nulls_first()))
+    by_column = W.partitionBy("i")
+    running = counted.withColumn("upto", F.sum("rows").over(by_column.orderBy("side", "value"))).withColumn(
+        "n", F.sum("rows").over(by_column)
     )
-    position = (F.col("n") - 1) * F.lit(float(q))
-    ranked = running.where(F.col("v").isNotNull()).agg(
-        F.min(F.when(F.col("upto") > F.floor(position), F.col("v"))).alias("lower"),
-        F.min(F.when(F.col("upto") > F.ceil(position), F.col("v"))).alias("upper"),
+    share = F.element_at(F.array(*[F.lit(float(q)) for _, q in wanted]), F.col("i") + 1)
+    position = (F.col("n") - 1) * share
+    ranked = running.groupBy("i").agg(
+        F.min(F.when(F.col("upto") > F.floor(position), F.col("value"))).alias("lower"),
+        F.min(F.when(F.col("upto") > F.ceil(position), F.col("value"))).alias("upper"),
         F.first(position - F.floor(position)).alias("share"),
     )
-    return ranked.select(
-        (F.col("lower") + (F.col("upper") - F.col("lower")) * F.col("share")).alias("quantile")
-    )
+    found = F.col("lower") + (F.col("upper") - F.col("lower")) * F.col("share")
+    return ranked.agg(*[F.max(F.when(F.col("i") == i, found)).alias(f"q{i}") for i in range(len(wanted))])
+
+
+def exact_quantile(df: DataFrame, column: str, q: float) -> DataFrame:
+    """One exact quantile as a one-row frame ``(quantile)``."""
+    return exact_quantiles(df, [(column, q)]).select(F.col("q0").alias("quantile"))

@@ -39,11 +39,10 @@ def clip_upper(df: DataFrame, column: str, q: float) -> DataFrame:
 
 def fill_median(df: DataFrame, columns: list[str]) -> DataFrame:
     """Nulls become the exact median of their column; a column of nulls stays null."""
-    filled = df
-    for name in columns:
-        median = numeric.exact_quantile(df, name, 0.5).scalar()
-        filled = filled.withColumn(name, F.coalesce(F.col(name).cast("double"), median))
-    return filled
+    medians = numeric.exact_quantiles(df, [(name, 0.5) for name in columns])
+    rows = df.withColumn("_medians", medians.select(F.struct("*")).scalar())
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.col(f"_medians.q{i}")) for i, c in enumerate(columns)}
+    return rows.withColumns(filled).drop("_medians")
 
 
 def invert(df: DataFrame, column: str, target: str) -> DataFrame:
@@ -54,16 +53,25 @@ def invert(df: DataFrame, column: str, target: str) -> DataFrame:
 def build_features(joined: DataFrame) -> DataFrame:
     """Recipe id and the six features scaled to [0, 1].
 
-    Standardising before the min-max step does not change its result, so it is left out. Each
-    step needs a corpus-wide figure of the step before, so the steps are written in between.
+    Standardising before the min-max step does not change its result, so it is left out. All
+    quantiles come from one pair of passes; the filled rows are written, since the bounds need them.
     """
     raw = joined.select(
         "recipeid", "appeal_score", "sentiment_percentile", "simplicity_score",
         F.col("eufic_match_count").cast("double").alias("eufic_match_count"),
         "totaltime", "rating_score",
     )
-    clipped = stage(clip_upper(raw, "totaltime", K.TIME_CLIP_QUANTILE), "clipped")
-    filled = stage(fill_median(clipped, [c for c in clipped.columns if c != "recipeid"]), "filled")
+    # A median is never above a quantile beyond it, so clipping first would not change it.
+    columns = [c for c in raw.columns if c != "recipeid"]
+    wanted = [("totaltime", K.TIME_CLIP_QUANTILE), *[(c, 0.5) for c in columns]]
+    figures = numeric.exact_quantiles(raw, wanted).select(F.struct("*")).scalar()
+    time = F.col("totaltime").cast("double")
+    capped = F.when(time.isNotNull(), F.least(time, F.col("_figures.q0")))
+    values = {c: capped if c == "totaltime" else F.col(c).cast("double") for c in columns}
+    filled = raw.withColumn("_figures", figures).select(
+        "recipeid", *[F.coalesce(values[c], F.col(f"_figures.q{i}")).alias(c) for i, c in enumerate(columns, 1)]
+    )
+    filled = stage(filled, "filled")
     inverted = invert(filled, "totaltime", "totaltime_inverted").select("recipeid", *FEATURES)
     scaled = numeric.min_max_columns(inverted, FEATURES)
     return scaled.select("recipeid", *[F.col(f"{c}_scaled").alias(c) for c in FEATURES])

@@ -1,3 +1,4 @@
+import numpy as np
 import pandas as pd
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -164,3 +165,19 @@ def test_exact_quantile_brackets_large_input(spark, monkeypatch):
     local = skewed.toPandas()["v"]
     for q in (0.0, 0.2, 0.5, 0.8, 0.99, 1.0):
         assert numeric.exact_quantile(skewed, "v", q).first()[0] == pytest.approx(local.quantile(q))
+
+
+def test_joint_quantiles_in_two_passes(spark, monkeypatch):
+    monkeypatch.setattr(numeric, "QUANTILE_ACCURACY", 100)
+    rng = np.random.default_rng(2)
+    table = pd.DataFrame({"a": rng.integers(0, 40, 3000).astype(float), "b": rng.normal(size=3000), "c": np.full(3000, 2.0), "d": np.nan})
+    table.loc[::7, "a"] = np.nan
+    df = spark.createDataFrame([tuple(None if np.isnan(x) else float(x) for x in r) for r in table.to_numpy()], "a double, b double, c double, d double")
+    wanted = [(c, q) for c in "abcd" for q in (0.0, 0.013, 0.5, 0.8, 0.99, 1.0)]
+    got = numeric.exact_quantiles(df, wanted)
+    for value, (c, q) in zip(got.first(), wanted):
+        expected = table[c].quantile(q)
+        assert (value is None and np.isnan(expected)) or value == pytest.approx(expected, abs=1e-12), (c, q)
+    for n in range(1, 25):
+        some = spark.range(n).select(F.col("id").cast("double").alias("v"))
+        assert list(numeric.exact_quantiles(some, [("v", q / 10) for q in range(11)]).first()) == pytest.approx([(n - 1) * q / 10 for q in range(11)])
