@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from larder import constants as K
 from larder.functions import numeric, text
-from larder.sources.schemas import lower_names, require_columns
+from larder.sources.schemas import LOAD_POSITION, lower_names, require_columns
 
 RECIPE_TEXTS = ("name", "recipecategory", "recipeingredientparts", "recipeinstructions")
 RECIPE_TIMES = ("cooktime", "preptime", "totaltime")
@@ -39,6 +39,12 @@ def all_columns_order(df: DataFrame, keys: list[str]) -> list[Column]:
     return [F.col(f"`{c}`").asc_nulls_last() for c in df.columns if c not in keys]
 
 
+def load_order(df: DataFrame, keys: list[str]) -> list[Column]:
+    """The place a row was read from, where the reader kept it, then the columns."""
+    place = [F.col(LOAD_POSITION).asc_nulls_last()] if LOAD_POSITION in df.columns else []
+    return place + all_columns_order(df, [*keys, LOAD_POSITION])
+
+
 def month_number(month: Column) -> Column:
     pairs = [F.lit(v) for pair in K.MONTHS.items() for v in pair]
     return F.try_element_at(F.create_map(*pairs), month)
@@ -47,7 +53,7 @@ def month_number(month: Column) -> Column:
 def clean_recipes(bronze: DataFrame, order: list[Column] | None = None) -> DataFrame:
     df = lower_names(bronze)
     require_columns(df, list(RECIPE_COLUMNS))
-    kept = first_per_key(df, ["recipeid"], order or all_columns_order(df, ["recipeid"]))
+    kept = first_per_key(df, ["recipeid"], order or load_order(df, ["recipeid"]))
     converted = {}
     for name in RECIPE_COLUMNS:
         column = F.col(name)
@@ -67,7 +73,7 @@ def clean_recipes(bronze: DataFrame, order: list[Column] | None = None) -> DataF
 def clean_reviews(bronze: DataFrame, order: list[Column] | None = None) -> DataFrame:
     df = lower_names(bronze)
     require_columns(df, ["reviewid", "recipeid", "rating", "review"])
-    kept = first_per_key(df, ["reviewid"], order or all_columns_order(df, ["reviewid"]))
+    kept = first_per_key(df, ["reviewid"], order or load_order(df, ["reviewid"]))
     return kept.select(
         "reviewid",
         "recipeid",
@@ -81,11 +87,13 @@ def clean_seasonality(bronze: DataFrame, order: list[Column] | None = None) -> D
     require_columns(bronze, list(SEASONALITY_COLUMNS))
     texts = ("product_name", "product_type", "month", "country", "source")
     df = bronze.select(
-        *[text.key_text(F.col(name)).alias(name) for name in texts], "extracted_at"
+        *[text.key_text(F.col(name)).alias(name) for name in texts],
+        "extracted_at",
+        *[c for c in bronze.columns if c == LOAD_POSITION],
     ).withColumn("month_number", month_number(F.col("month")))
     known = df.na.drop(subset=["product_name", "product_type", "month_number", "country"])
     keys = ["product_name", "product_type", "month_number", "country"]
-    return first_per_key(known, keys, order or all_columns_order(known, keys)).select(
+    return first_per_key(known, keys, order or load_order(known, keys)).select(
         "product_name",
         "product_type",
         "month",
@@ -102,7 +110,8 @@ def clean_seasonality(bronze: DataFrame, order: list[Column] | None = None) -> D
 def clean_production(bronze: DataFrame, order: list[Column] | None = None) -> DataFrame:
     require_columns(bronze, list(PRODUCTION_NAMES))
     df = bronze.where(F.col("Element") == "Production").select(
-        *[F.col(f"`{old}`").alias(new) for old, new in PRODUCTION_NAMES.items()]
+        *[F.col(f"`{old}`").alias(new) for old, new in PRODUCTION_NAMES.items()],
+        *[c for c in bronze.columns if c == LOAD_POSITION],
     )
     for name in ("country_name", "product_name", "element", "unit"):
         df = df.withColumn(name, text.key_text(F.col(name)))
@@ -113,7 +122,8 @@ def clean_production(bronze: DataFrame, order: list[Column] | None = None) -> Da
     )
     keys = ["area_code", "item_code", "year", "element"]
     return (
-        first_per_key(df, keys, order or all_columns_order(df, keys))
+        first_per_key(df, keys, order or load_order(df, keys))
+        .drop(LOAD_POSITION)
         .withColumn("source", F.lit("faostat_qcl"))
         .withColumn("processed_at", F.current_timestamp())
     )

@@ -290,6 +290,16 @@ def _(w):
     return rows.select("l_partkey", "l_orderkey", "l_linenumber", "l_suppkey")
 
 
+@query("B8_first_in_load_order", """
+SELECT l_partkey, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_suppkey FROM
+ (SELECT *, row_number() OVER () AS place FROM lineitem) QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY place)=1""")
+def _(w):
+    """The first row of each key by file and row, as the files hold them."""
+    rows = readers.read_parquet_in_order(w.spark, f"{w.sf_dir}/lineitem.parquet")
+    kept = cleaning.first_per_key(rows, ["l_partkey"], cleaning.load_order(rows, ["l_partkey"]))
+    return kept.select("l_partkey", "l_orderkey", "l_linenumber", "l_suppkey")
+
+
 @query("B9_month_number", using("bronze_season", """
 SELECT lower(month) AS month, month(strptime(month,'%B')) AS month_number, count(*) AS n
 FROM bronze_season GROUP BY 1,2"""))

@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
+from larder.sources.schemas import LOAD_POSITION
+
 _OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
@@ -78,12 +80,15 @@ def _is_header() -> Column:
     return (F.col("owner") == 0) & (F.col("ordinal") == 1)
 
 
-def read_csv_parallel(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv_parallel(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, in_order: bool = False
+) -> DataFrame:
     """Rows of CSV files with a header each; names come from the header and types from all values
     unless a schema is given, which goes by position.
 
     Empty unquoted values are null. Blank lines outside quotes are skipped. Files of no line, or of
-    a header alone, have no rows.
+    a header alone, have no rows. With ``in_order`` the place of each record is kept in a column, so
+    that "first" can mean first in file order.
     """
     found = records(spark, path)
     if schema is None:
@@ -94,9 +99,9 @@ def read_csv_parallel(spark: SparkSession, path: str, schema: T.StructType | Non
         names = _fields(width, "r", header[0]["record"].count(",") + 1).first()
         names = [n for n in names if n is not None]
         texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        rows = _parsed(found.where(~_is_header()), texts)
-        return cast_to(rows, infer_types(rows))
-    return _parsed(found.where(~_is_header()), schema)
+        rows = _parsed(found.where(~_is_header()), texts, in_order)
+        return cast_to(rows, infer_types(rows.select(*[F.col(f"`{n}`") for n in names])))
+    return _parsed(found.where(~_is_header()), schema, in_order)
 
 
 def _fields(df: DataFrame, column: str, most: int) -> DataFrame:
@@ -104,11 +109,13 @@ def _fields(df: DataFrame, column: str, most: int) -> DataFrame:
     return df.select(F.from_csv(column, F.lit(schema), _OPTIONS).alias("v")).select("v.*")
 
 
-def _parsed(found: DataFrame, schema: T.StructType) -> DataFrame:
+def _parsed(found: DataFrame, schema: T.StructType, in_order: bool) -> DataFrame:
     # Names may clash or hold any character, so fields are parsed by position.
     plain = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(schema.fields))
-    values = found.select(F.from_csv("record", F.lit(plain), _OPTIONS).alias("v"))
-    return values.select(*[F.col(f"v.c{i}").alias(f.name) for i, f in enumerate(schema.fields)])
+    place = F.struct("file", F.col("owner").alias("begin"), F.col("ordinal").alias("row")).alias(LOAD_POSITION)
+    values = found.select(F.from_csv("record", F.lit(plain), _OPTIONS).alias("v"), place)
+    fields = [F.col(f"v.c{i}").alias(f.name) for i, f in enumerate(schema.fields)]
+    return values.select(*fields, *([LOAD_POSITION] if in_order else []))
 
 
 def _fits(value: Column) -> dict[str, Column]:
@@ -139,7 +146,9 @@ def infer_types(texts: DataFrame) -> list[str]:
 
 
 def cast_to(texts: DataFrame, types: list[str]) -> DataFrame:
+    """Text columns by position; further columns stay as they are."""
+    rest = [F.col(f"`{c}`") for c in texts.columns[len(types) :]]
     return texts.select(*[
         F.col(f"`{name}`") if kind == "string" else F.trim(F.col(f"`{name}`")).try_cast(kind).alias(name)
         for name, kind in zip(texts.columns, types)
-    ])
+    ], *rest)

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from larder.functions import text
+from larder.sources.schemas import LOAD_POSITION
 
 
 def latest_snapshot_path(spark: SparkSession, directory: str, pattern: str) -> str:
@@ -40,6 +41,15 @@ def read_parquet(
     return df.select(*columns) if columns else df
 
 
+def read_parquet_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet rows with their load position, so that "first" can mean first in file order."""
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.lit(0).cast("long").alias("begin"), F.col("_metadata.row_index").alias("row")
+    )
+    df = spark.read.parquet(path)
+    return df.select(*[F.col(f"`{c}`") for c in df.columns], place.alias(LOAD_POSITION))
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
 ) -> DataFrame:

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, types as T
 
+#: Column that readers add on demand: file, begin of the byte range, place in it. Its order is that
+#: of the rows in their files.
+LOAD_POSITION = "load_position"
+
 BRONZE_RECIPES = T.StructType(
     [T.StructField("RecipeId", T.LongType())]
     + [

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from conftest import plan
-from larder.operators import quality
+from larder.operators import cleaning, quality
 from larder.sources import csv_records, pages, readers, schemas, staging, writers
 
 
@@ -71,6 +71,28 @@ def test_one_file_in_many_ranges_equals_the_read_by_one_task(spark, tmp_path, ne
     assert [(n, kinds[t]) for n, t in inferred.dtypes] == list(zip(theirs.columns, map(str, theirs.types)))
 
 
+def test_first_in_file_order_is_kept(spark, tmp_path):
+    rng = random.Random(7)
+    rows = [(rng.randrange(40), i, rng.choice("zyxa")) for i in range(900)]
+    lines = ["reviewid,recipeid,rating,review"] + [f'{k},{i},3,"{t}\n{i}"' for k, i, t in rows]
+    path = tmp_path / "reviews.csv"
+    path.write_text("\n".join(lines))
+    first = {}
+    for k, i, _ in rows:
+        first.setdefault(k, i)
+    undo = small_ranges(spark, 500)
+    try:
+        bronze = csv_records.read_csv_parallel(spark, str(path), in_order=True)
+        kept = {r.reviewid: r.recipeid for r in cleaning.clean_reviews(bronze).collect()}
+    finally:
+        undo()
+    assert kept == first and set(cleaning.clean_reviews(bronze).columns) == {"reviewid", "recipeid", "rating", "review", "processed_at"}
+    parquet = tmp_path / "reviews.parquet"
+    spark.createDataFrame(rows, "reviewid long, recipeid long, review string").withColumn("rating", F.lit(1.0)).coalesce(1).write.parquet(str(parquet))
+    ordered = readers.read_parquet_in_order(spark, str(parquet))
+    assert {r.reviewid: r.recipeid for r in cleaning.clean_reviews(ordered).collect()} == first
+
+
 def test_files_without_rows_and_odd_names(spark, tmp_path):
     (tmp_path / "d").mkdir()
     (tmp_path / "d" / "a.csv").write_text('"na.me","na,me"\n1,2\n\n')
