@@ -23,6 +23,7 @@ import bisect
 import gzip
 import hashlib
 import json
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -42,6 +43,8 @@ ARCHIVE_BYTES = 1 << 30
 DATE = "2020-01-01T00:00:00Z"
 _GAP = 1 << 16
 _READ_ROWS = 2000
+#: Keys whose records one task reads back.
+LOOK_UP_KEYS = 5000
 
 LOCATED = "url string, page_id string, key string, file string, offset long, length long"
 
@@ -340,10 +343,12 @@ def look_up(keys: DataFrame, directory: DataFrame, index_folder: str, archive_fo
                     )
                 yield pd.DataFrame(rows, columns=names)
 
+    # Keys are small but their records are not: adaptive execution would merge the ranges by the keys'
+    # size, and leaves a number of ranges that is given.
+    distinct = keys.select("key").distinct()
+    ranges = max(1, math.ceil(distinct.count() / LOOK_UP_KEYS))
     return (
-        keys.select("key")
-        .distinct()
-        .repartitionByRange("key")
+        distinct.repartitionByRange(ranges, "key")
         .sortWithinPartitions("key")
         .mapInPandas(
             read,

@@ -62,6 +62,14 @@ def test_archives_are_sequences_of_gzip_members(made):
         assert data.startswith(b"WARC/1.1\r\n") and data.endswith(b"\r\n\r\n")
 
 
+def test_a_task_reads_a_bounded_number_of_records(spark, made, monkeypatch):
+    captures, directory, archives, index = made
+    monkeypatch.setattr(warc, "LOOK_UP_KEYS", 3)
+    got = warc.look_up(captures, directory, index, archives)
+    tasks = [r["count"] for r in got.groupBy(warc.F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == len(PAGES) and len(tasks) >= 3
+
+
 def test_look_up_of_chosen_and_missing_keys(spark, made):
     _, directory, archives, index = made
     keys = [warc.sort_key("http://b.org", "4"), warc.sort_key("http://b.org", "77"), warc.sort_key(None, "6"), "zzz", ""]
