@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from larder.llm import bktree, mixing, outliers, packing, toxicity
+from larder.llm import mixing, outliers, packing, similar, toxicity
 from larder.sources.staging import stage
 
 
@@ -23,8 +23,8 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints."""
-    return bktree.deduplicate(docs)
+    """One document of each group of texts whose sets of five-word shingles are similar by 0.8 or more."""
+    return similar.deduplicate(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

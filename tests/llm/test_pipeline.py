@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from larder.llm import bktree, outliers, packing, toxicity
+from larder.llm import outliers, packing, similar, toxicity
 from larder.sources.staging import stage
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -72,7 +72,7 @@ def test_stages_in_order_and_their_columns(spark, folder):
 
     # One document of each component, by brute force over all pairs.
     order = sorted(ids[1])
-    prints = [bktree.fingerprint(texts[i]) & (2**64 - 1) for i in order]
+    prints = [int.from_bytes(similar.wide_print(texts[i]), "little") for i in order]
     root = list(range(len(order)))
 
     def find(i):
@@ -82,7 +82,7 @@ def test_stages_in_order_and_their_columns(spark, folder):
 
     for i in range(len(order)):
         for j in range(i):
-            if (prints[i] ^ prints[j]).bit_count() <= 3:
+            if (prints[i] ^ prints[j]).bit_count() <= similar.RADIUS:
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
     assert set(ids[2]) == {order[i] for i in range(len(order)) if find(i) == i}
