@@ -29,16 +29,18 @@ def exact_mean(value: Column, places: int) -> Column:
     return total / F.count(units) / F.lit(float(10**places))
 
 
+def moments_stddev(n: Column, s1: Column, s2: Column, places: int) -> Column:
+    """Sample deviation from a count and the sums of scaled whole numbers and of their squares."""
+    n, s1, s2 = (c.cast("double") for c in (n, s1, s2))
+    variance = F.when(n > 1, (s2 - s1 * s1 / n) / F.nullif(n - F.lit(1.0), F.lit(0.0)))
+    return F.sqrt(F.greatest(variance, F.lit(0.0))) / F.lit(float(10**places))
+
+
 def exact_stddev(value: Column, places: int) -> Column:
     """Sample deviation from exact integer moments; null for fewer than two rows."""
-    scale = float(10**places)
     units = scaled_long(value, places)
-    n = F.count(units).cast("double")
     wide = units.cast("decimal(19,0)")
-    s1 = F.sum(wide).cast("double")
-    s2 = F.sum(wide * wide).cast("double")
-    variance = F.when(n > 1, (s2 - s1 * s1 / n) / F.nullif(n - F.lit(1.0), F.lit(0.0)))
-    return F.sqrt(F.greatest(variance, F.lit(0.0))) / F.lit(scale)
+    return moments_stddev(F.count(units), F.sum(wide), F.sum(wide * wide), places)
 
 
 def number_or_zero(value: Column) -> Column:

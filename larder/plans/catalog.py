@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from larder import constants as K
 from larder.functions import numeric, text
 from larder.operators import (
-    cleaning, matching, quality, scoring, segments, sentiment, serving, sustainability,
+    cleaning, matching, quality, scoring, segments, sentiment, sentiment_state, serving, sustainability,
 )
 from larder.plans import settings as S
 from larder.plans.sql import (
@@ -505,6 +505,27 @@ def _(w):
     return sentiment.aggregate_by_recipe(scored)
 
 
+@query("D7_mergeable_state", using("scored scored_chat", f"""
+SELECT *, {rnd("""(rank() OVER (ORDER BY mean_sentiment_score) + (count(*) OVER (PARTITION BY mean_sentiment_score) - 1)/2e0)
+ / CAST(count(*) OVER () AS DOUBLE) * 1e2""", 2)} AS sentiment_percentile FROM
+(SELECT recipeid, {rnd(mean('sentiment_score', 2), 2)} AS mean_sentiment_score, count(*) AS review_count,
+ coalesce({rnd(std('sentiment_score', 2), 2)},0e0) AS std_sentiment FROM
+ (SELECT * FROM scored WHERE reviewid % 5 <> 0 UNION ALL SELECT * FROM scored_chat) GROUP BY 1)"""))
+def _(w):
+    """All reviews, then the later ones and every fifth of the first withdrawn, added to what is stored."""
+    chat = w.driver("conversations").select(
+        (F.lit(1_000_000_000_000) + F.col("conv_id") * 100_000 + F.col("turn")).alias("reviewid"),
+        F.col("conv_id").alias("recipeid"), text.clean_text(F.col("text")).alias("review"), F.lit(False).alias("withdrawn"),
+    )
+    first = w.reviews().select("reviewid", "recipeid", "review", F.lit(False).alias("withdrawn"))
+    store = new_path(w.spark, "sentiment-state")
+    sentiment_state.create(w.spark, store)
+    sentiment_state.apply_batch(store, first, w.lexicon(), S.RULES)
+    back = first.where("reviewid % 5 = 0").withColumn("withdrawn", F.lit(True))
+    sentiment_state.apply_batch(store, chat.unionByName(back), w.lexicon(), S.RULES)
+    return sentiment_state.recipe_sentiment(w.spark, store)
+
+
 # =====================================================================================
 # E  Matching
 # =====================================================================================
