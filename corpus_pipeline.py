@@ -23,7 +23,7 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts whose sets of five-word shingles are similar by 0.8 or more."""
+    """One document of each group of texts whose sets of five-word shingles are similar by about 0.8 or more, as wide prints estimate it."""
     return similar.deduplicate(docs)
 
 
