@@ -123,12 +123,11 @@ def _noisy_or_fit(y: np.ndarray, doc: np.ndarray, word: np.ndarray, sentence_doc
     return w[:-1], float(w[-1])
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit on ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic) outside the held-out third.
+def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(d, y, text): at most ``sample`` rows, one for each chosen id, whatever repeats in ``docs``.
 
-    Null labels and ids are left out; of several labels of a document the largest counts.
+    Of rows under one id the text of the smallest hash is taken.
     """
-    bound_batches(docs.sparkSession)
     chosen = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
@@ -137,12 +136,23 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .limit(sample)
     )
     # At most `sample` narrow rows, whatever the input.
-    texts = stage(
-        docs.select("doc_id", "text")
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))
+    return (
+        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
         .join(F.broadcast(chosen), "doc_id")
-        .select(F.monotonically_increasing_id().alias("d"), F.col("y").cast("int").alias("y"), F.coalesce("text", F.lit("")).alias("text")),
-        "toxic-sample",
+        .groupBy("doc_id", "y")
+        .agg(one.alias("one"))
+        .select(F.monotonically_increasing_id().alias("d"), F.col("y").cast("int").alias("y"), F.col("one.text").alias("text"))
     )
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    """Fit on ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic) outside the held-out third.
+
+    Null labels and ids are left out; of several labels of a document the largest counts.
+    """
+    bound_batches(docs.sparkSession)
+    texts = stage(labelled_sample(docs, labels, sample), "toxic-sample")
     sizes = dict(texts.groupBy("y").agg(F.count(F.lit(1))).collect())
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1 or not n0:

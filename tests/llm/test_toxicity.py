@@ -68,3 +68,14 @@ def test_stage_and_empty_inputs(spark, fitted):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity.keep_clean(df, none).count() == df.count()
     assert toxicity.score(df.limit(0), toxicity.train(df.limit(0), none)).count() == 0
+
+
+def test_one_id_with_many_rows_is_one_row_of_the_sample(spark):
+    copies = [(0, f"text {i % 7}" if i else None, "") for i in range(400)] + [(i, f"other {i}", "") for i in range(1, 12)]
+    docs = spark.createDataFrame(copies, "doc_id long, text string, y string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)] + [(0, 1)], "doc_id long, toxic int")
+    got = toxicity.labelled_sample(docs, labels).collect()
+    wanted = [i for i in range(12) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert 0 in wanted and len(got) == len(wanted) and len({r["d"] for r in got}) == len(got)
+    assert sum(r["text"] == "" or r["text"].startswith("text") for r in got) == 1
+    assert len(toxicity.labelled_sample(docs, labels, 3).collect()) == 3
