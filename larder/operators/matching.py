@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from larder import constants as K
 from larder.functions import numeric, text
@@ -10,6 +10,10 @@ from larder.sources.staging import stage
 
 SCORE_PLACES = 10
 SLICE_TERMS = 1000
+#: N-grams of a token, those of the fewest terms, whose best term sets the score to beat.
+SEED_NGRAMS = 3
+#: More than rounding and float sums can change in a score.
+_SLACK = 1e-9
 
 
 def build_vocabulary(season: DataFrame, production: DataFrame) -> DataFrame:
@@ -73,57 +77,115 @@ def ngram_index(vocabulary: DataFrame) -> DataFrame:
     return raw.withColumn("weight", F.col("raw") / norm).select(*keys, "ngram", "idf", "weight")
 
 
-def match_tokens(tokens: DataFrame, vocabulary: DataFrame, index: DataFrame) -> DataFrame:
-    """Best term per distinct token by cosine similarity.
+def ngram_bounds(index: DataFrame) -> DataFrame:
+    """Rows (ngram, idf, postings, top, slices): top is the largest weight that any term has there."""
+    return index.groupBy("ngram").agg(
+        F.first("idf").alias("idf"),
+        F.count("*").alias("postings"),
+        F.max("weight").alias("top"),
+        F.ceil(F.count("*") / F.lit(SLICE_TERMS)).cast("int").alias("slices"),
+    )
+
 
-    Tokens stay hash-partitioned by token from their ``distinct`` on. The index is a written
-    table, so Catalyst broadcasts it while it is small and then no further shuffle happens.
+def token_vectors(tokens: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Rows (ingredient_token, ngram, unit, slices, pos, rest, after): known n-grams, fewest terms first.
+
+    ``rest`` is what this n-gram and those behind it can add to any term, ``after`` what those behind
+    it can: the sum of units times largest weights, or the norm of the units, as terms have norm 1.
     """
-    # N-grams of many terms are cut into slices of the index, each met by all its tokens.
-    idf = stage(
-        index.groupBy("ngram").agg(
-            F.first("idf").alias("idf"),
-            F.ceil(F.count("*") / F.lit(SLICE_TERMS)).cast("int").alias("slices"),
-        ),
-        "ngram-idf",
-    )
-    sliced = index.join(idf.select("ngram", "slices"), "ngram").select(
-        "term", "source", "priority", "ngram", "weight",
-        F.pmod(F.xxhash64("term"), F.col("slices")).cast("int").alias("slice"),
-    )
-    grams = (
+    token = W.partitionBy("ingredient_token")
+    rarest = token.orderBy("postings", "ngram")
+
+    def at_most(window: W) -> Column:
+        most = F.sum(F.col("unit") * F.col("top")).over(window)
+        norm = F.sqrt(F.sum(F.col("unit") * F.col("unit")).over(window))
+        return F.coalesce(F.least(most, norm), F.lit(0.0))
+
+    return (
         tokens.select(
             "ingredient_token",
-            F.explode_outer(text.padded_ngrams(F.col("ingredient_token"))).alias("ngram"),
+            F.explode(text.padded_ngrams(F.col("ingredient_token"))).alias("ngram"),
         )
         .groupBy("ingredient_token", "ngram")
         .agg(F.count("*").cast("double").alias("tf"))
-        .join(idf, "ngram", "left")
+        .join(bounds, "ngram")
         .withColumn("raw", (F.lit(1.0) + F.log("tf")) * F.col("idf"))
+        .withColumn("unit", F.col("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(token)))
+        .select(
+            "ingredient_token", "ngram", "unit", "slices",
+            F.row_number().over(rarest).alias("pos"),
+            at_most(rarest.rowsBetween(W.currentRow, W.unboundedFollowing)).alias("rest"),
+            at_most(rarest.rowsBetween(1, W.unboundedFollowing)).alias("after"),
+        )
+    )
+
+
+def candidate_terms(vectors: DataFrame, index: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Rows (ingredient_token, term): every term that can be a token's best, few others.
+
+    The terms of a token's rarest n-grams are met first; the one that gains most by them is scored in
+    full, which no best term falls short of. N-grams whose rest cannot reach that score are not
+    looked up, and a found term that cannot reach it with all that is left is dropped.
+    """
+    # N-grams of many terms are cut into slices of the index, each met by all its tokens.
+    sliced = index.join(bounds.select("ngram", "slices"), "ngram").select(
+        "term", "ngram", "weight", F.pmod(F.xxhash64("term"), F.col("slices")).cast("int").alias("slice")
+    )
+
+    def met(grams: DataFrame, *kept: Column) -> DataFrame:
+        return (
+            grams.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+            .join(sliced, ["ngram", "slice"])
+            .groupBy("ingredient_token", "term")
+            .agg(F.sum(F.col("unit") * F.col("weight")).alias("part"), *kept)
+        )
+
+    seeds = (
+        met(vectors.where(F.col("pos") <= SEED_NGRAMS))
+        .groupBy("ingredient_token")
+        .agg(F.max(F.struct("part", "term"))["term"].alias("term"))
+    )
+    floors = stage(
+        full_scores(seeds, vectors, index).select("ingredient_token", (F.col("dot") - _SLACK).alias("floor")),
+        "match-floors",
+    )
+    left = F.min("after").over(W.partitionBy("ingredient_token"))
+    needed = (
+        vectors.join(floors, "ingredient_token").where(F.col("rest") >= F.col("floor")).withColumn("left", left)
+    )
+    return (
+        met(needed, F.first("floor").alias("floor"), F.first("left").alias("left"))
+        .where(F.col("part") + F.col("left") >= F.col("floor"))
+        .select("ingredient_token", "term")
     )
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy("ingredient_token")))
-    scored = (
-        grams.withColumn("unit", F.try_divide(F.col("raw"), norm))
-        .withColumn("slice", F.explode(F.sequence(F.lit(0), F.coalesce("slices", F.lit(1)) - 1)))
-        .join(sliced, ["ngram", "slice"], "left")
+
+
+def full_scores(pairs: DataFrame, vectors: DataFrame, index: DataFrame) -> DataFrame:
+    """Rows (ingredient_token, term, source, priority, dot) of pairs that share an n-gram."""
+    return (
+        pairs.join(vectors.select("ingredient_token", "ngram", "unit"), "ingredient_token")
+        .join(index.select("term", "source", "priority", "ngram", "weight"), ["term", "ngram"])
         .groupBy("ingredient_token", "term", "source", "priority")
         .agg(F.sum(F.col("unit") * F.col("weight")).alias("dot"))
     )
+
+
+def match_tokens(tokens: DataFrame, vocabulary: DataFrame, index: DataFrame) -> DataFrame:
+    """Best term per distinct token by cosine similarity, of the terms that bounds do not rule out.
+
+    A token without a known n-gram gets the first term of the vocabulary, with similarity 0.
+    """
+    bounds = stage(ngram_bounds(index), "ngram-bounds")
+    vectors = stage(token_vectors(tokens, bounds), "token-vectors")
+    scored = full_scores(candidate_terms(vectors, index, bounds), vectors, index)
     rank_score = numeric.round_half_up(F.col("dot"), SCORE_PLACES)
     best = scored.groupBy("ingredient_token").agg(
-        F.min(
-            F.when(
-                F.col("term").isNotNull(),
-                F.struct(
-                    (-rank_score).alias("minus_score"), "priority", "term", "source"
-                ),
-            )
-        ).alias("best")
+        F.min(F.struct((-rank_score).alias("minus_score"), "priority", "term", "source")).alias("best")
     )
     first_term = vocabulary.agg(
         F.min(F.struct("priority", "term", "source"))
     ).scalar()
-    return best.withColumn("first_term", first_term).select(
+    return tokens.join(best, "ingredient_token", "left").withColumn("first_term", first_term).select(
         "ingredient_token",
         F.coalesce("best.term", "first_term.term").alias("best_term"),
         F.coalesce("best.source", "first_term.source").alias("best_source"),

@@ -3,6 +3,8 @@ from collections import Counter
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from conftest import plan
 from larder.operators import matching
 from test_functions import brute_ngrams
@@ -125,3 +127,33 @@ def test_hot_ngrams_are_sliced_without_loss(spark, monkeypatch):
         assert best() == whole
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def every_pair(vectors, index):
+    return matching.full_scores(
+        vectors.join(index.select("term", "ngram"), "ngram").select("ingredient_token", "term").distinct(), vectors, index
+    )
+
+
+def test_bounds_rule_out_most_of_a_large_vocabulary(spark):
+    """100,000 terms: the best of all pairs is found, among few of them."""
+    part = lambda salt, n: F.substring(F.translate(F.hex(F.xxhash64("id", F.lit(salt))), "0123456789ABCDEF", "aeioulnrstdmpkgb"), 1, n)
+    words = spark.range(100_000).select(F.concat_ws(" ", part(1, 6), F.when(F.col("id") % 3 == 0, part(2, 5))).alias("product_name"), "id")
+    vocabulary = matching.stage(matching.build_vocabulary(words.where("id % 2 = 0"), words.where("id % 2 = 1")), "v")
+    index = matching.stage(matching.ngram_index(vocabulary), "i")
+    close = words.where("id % 2500 = 0").select(F.concat(F.substring("product_name", 2, 9), F.lit("s")).alias("ingredient_token"))
+    far = spark.range(20).select(part(5, 7).alias("ingredient_token"))
+    odd = spark.createDataFrame([("zz",), ("éé",), ("",)], "ingredient_token string")
+    tokens = matching.stage(close.union(far).union(odd).distinct(), "t")
+    bounds = matching.ngram_bounds(index)
+    vectors = matching.stage(matching.token_vectors(tokens, bounds), "w")
+    whole = matching.stage(every_pair(vectors, index), "all")
+    some = matching.candidate_terms(vectors, index, bounds)
+    assert some.count() * 10 < whole.count()
+    order = F.struct((-matching.numeric.round_half_up(F.col("dot"), 10)).alias("s"), "priority", "term")
+    want = {r[0]: (r[1].term, -r[1].s) for r in whole.groupBy("ingredient_token").agg(F.min(order)).collect()}
+    got = {r.ingredient_token: r for r in matching.match_tokens(tokens, vocabulary, index).collect()}
+    assert len(got) == tokens.count() and len(want) > 50
+    for token, r in got.items():
+        term, score = want.get(token, (None, 0.0))
+        assert term in (None, r.best_term) and r.similarity_score == pytest.approx(score, abs=1e-4), token
