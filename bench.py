@@ -88,7 +88,7 @@ def main() -> None:
             )
         ),
     )
-    timed("sustainability_all_contexts", w.sustainability)
+    timed("sustainability_all_contexts", lambda: (w.sustainability_path(), w.sustainability()))
     timed("serving_view", lambda: drain(view(w)))
     timed("basket_recommendations", lambda: drain(serving.basket_recommendations(w.gold(), *CONTEXT, S.BASKET)))
     timed("basket_tiers", lambda: drain(serving.filter_by_basket(view(w), BASKET, S.FALLBACK_BASKET, ingredients(w))))

@@ -24,20 +24,47 @@ def _means() -> list[Column]:
 
 
 def global_stats(scores: DataFrame) -> DataFrame:
-    """One row over the score table; months are few, so only recipes need a distinct shuffle."""
-    return scores.agg(
+    """One row over the score table.
+
+    Recipes are counted by themselves, so that no other figure travels with a recipe's id; the rest
+    is summed for each of the few months first.
+    """
+    means = {c: f"mean_{'score' if c == 'sustainability_score' else c.removesuffix('_score')}" for c in SCORES}
+    units = {c: numeric.scaled_long(F.col(c), 2) for c in means}
+    by_month = scores.groupBy("score_month").agg(
         F.count("*").alias("rows"),
-        F.count_distinct("recipeid").alias("recipes"),
-        F.size(F.collect_set("score_month")).cast("long").alias("months"),
-        F.min("sustainability_score").alias("min_score"),
-        F.max("sustainability_score").alias("max_score"),
-        *_means(),
+        F.min("sustainability_score").alias("low"),
+        F.max("sustainability_score").alias("high"),
+        *[F.sum(u.cast("decimal(28,0)")).alias(f"sum_{c}") for c, u in units.items()],
+        *[F.count(u).alias(f"n_{c}") for c, u in units.items()],
+    )
+
+    def mean(name: str) -> Column:
+        total = F.sum(f"sum_{name}").cast("double")
+        return numeric.round_half_up(total / F.sum(f"n_{name}") / F.lit(100.0), 2)
+
+    return by_month.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.count("score_month").alias("months"),
+        F.min("low").alias("min_score"),
+        F.max("high").alias("max_score"),
+        *[mean(c).alias(means[c]) for c in ("sustainability_score", "seasonality_score", "availability_score", "coverage_score")],
+    ).select(
+        "rows", scores.agg(F.count_distinct("recipeid")).scalar().alias("recipes"), "months", "min_score", "max_score",
+        "mean_score", "mean_seasonality", "mean_availability", "mean_coverage",
     )
 
 
 def stats_by_country(scores: DataFrame) -> DataFrame:
-    return scores.groupBy("score_country").agg(
-        F.count("*").alias("rows"), F.count_distinct("recipeid").alias("recipes"), *_means()
+    """Figures per country; recipes are counted by themselves, so that no sum travels with their ids."""
+    figures = scores.groupBy("score_country").agg(F.count("*").alias("rows"), *_means())
+    recipes = (
+        scores.select(F.col("score_country").alias("_country"), "recipeid").distinct()
+        .groupBy("_country").agg(F.count("recipeid").alias("recipes"))
+    )
+    joined = figures.join(recipes, F.col("score_country").eqNullSafe(F.col("_country")))
+    return joined.select(
+        "score_country", "rows", "recipes", "mean_score", "mean_seasonality", "mean_availability", "mean_coverage"
     )
 
 

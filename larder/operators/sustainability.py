@@ -6,14 +6,18 @@ row per recipe, term and country; the twelve months are unfolded only in the out
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from larder import constants as K
 from larder.functions import numeric, text
 from larder.sources.staging import stage
-from larder.sources.writers import spread
+from larder.sources.writers import spread_keys
 
 SHARE_PLACES = 12
+#: Rows (recipe, country) that one task sums or writes, whatever the number of recipes.
+ROWS_PER_TASK = 150_000
 MONTH_NUMBERS = tuple(range(1, 13))
 
 
@@ -186,8 +190,10 @@ def recipe_countries(recipes: DataFrame, contexts: DataFrame) -> DataFrame:
     )
 
 
-def score_contexts(per_country: DataFrame, months: tuple[int, ...] = MONTH_NUMBERS) -> DataFrame:
-    """Final metrics, one row per recipe, country and month."""
+def score_contexts(
+    per_country: DataFrame, months: tuple[int, ...] = MONTH_NUMBERS, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Final metrics, one row per recipe, country and month; columns in ``keep`` stay beside them."""
     unfolded = per_country.withColumn(
         "m",
         F.explode(F.array(*[
@@ -228,19 +234,21 @@ def score_contexts(per_country: DataFrame, months: tuple[int, ...] = MONTH_NUMBE
             "sustainability_score"
         ),
         "coverage_score",
+        *keep,
     )
 
 
-def sustainability_scores(
+def folded_scores(
     matches: DataFrame, season: DataFrame, production: DataFrame, country: str | None = None,
     month: int | None = None, spread_countries: bool = False,
 ) -> DataFrame:
-    """Scores of all recipes with a recognised term, for one or for all contexts.
+    """Sums of all recipes with a recognised term, one row per recipe and country, for ``score_contexts``.
 
-    ``spread_countries`` distributes the result for a write by country. It moves the rows
-    before the months are unfolded, which is a twelfth of the output.
+    A recipe becomes a row for every country, so the number of tasks follows from these rows and not
+    from the few bytes of the recipes. ``spread_countries`` distributes the result for a write by
+    country, before the months are unfolded.
     """
-    recipes = recipe_terms(matches)
+    recipes = stage(recipe_terms(matches), "recipe-terms")
     terms = (
         matches.where(F.col("matched_term").isNotNull() & (F.col("source") != K.UNMATCHED))
         .select("matched_term")
@@ -252,7 +260,23 @@ def sustainability_scores(
         season = season.where(text.country_key(F.col("country")) == key)
         production = production.where(text.country_key(F.col("country_name")) == key)
     contexts = stage(term_contexts(terms, season, production, month), "term-contexts")
-    sums = recipe_countries(recipes, contexts)
-    if spread_countries:
-        sums = spread(sums, "country", ("recipeid",))
+    countries = sorted(row.country for row in contexts.select("country").distinct().collect())
+    scored = recipes.where(F.size("terms") > 0).count()
+    tasks = max(1, math.ceil(scored * len(countries) / ROWS_PER_TASK))
+    sums = recipe_countries(recipes.repartition(tasks, "recipeid"), contexts)
+    if spread_countries and countries:
+        sums = spread_keys(sums, "country", countries, ("recipeid",), math.ceil(scored / ROWS_PER_TASK))
+    return sums
+
+
+def sustainability_scores(
+    matches: DataFrame, season: DataFrame, production: DataFrame, country: str | None = None,
+    month: int | None = None, spread_countries: bool = False,
+) -> DataFrame:
+    """Scores of all recipes with a recognised term, for one or for all contexts.
+
+    ``spread_countries`` distributes the result for a write by country. It moves the rows
+    before the months are unfolded, which is a twelfth of the output.
+    """
+    sums = folded_scores(matches, season, production, country, month, spread_countries)
     return score_contexts(sums, MONTH_NUMBERS if month is None else (month,))

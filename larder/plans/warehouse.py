@@ -271,6 +271,7 @@ class Warehouse:
         )
 
     def sustainability_path(self) -> str:
+        """All contexts as rows, by country and month, for readers of files."""
         def build():
             path = new_path(self.spark, "gold_sustainability")
             scores = sustainability.sustainability_scores(
@@ -280,8 +281,23 @@ class Warehouse:
 
         return self._kept("gold_sustainability_path", build)
 
+    def folded_path(self) -> str:
+        """All contexts by country, the twelve months of a recipe side by side in one row."""
+        def build():
+            path = new_path(self.spark, "gold_sustainability_folded")
+            sums = sustainability.folded_scores(
+                self.recipe_matches(), self.season(), self.production(), spread_countries=True
+            )
+            return write_by_country(
+                sums.withColumn("processed_at", F.current_timestamp()), path, "country", ("recipeid",)
+            )
+
+        return self._kept("gold_sustainability_folded_path", build)
+
     def sustainability(self) -> DataFrame:
-        return self.spark.read.parquet(self.sustainability_path())
+        """All contexts as rows; the months are unfolded behind the scan."""
+        folded = self.spark.read.parquet(self.folded_path())
+        return sustainability.score_contexts(folded, keep=("processed_at",))
 
     def gold(self) -> GoldTables:
         return GoldTables(

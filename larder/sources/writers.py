@@ -34,6 +34,19 @@ def spread(df: DataFrame, key: str, by: tuple[str, ...]) -> DataFrame:
     return df.repartition(key, slot)
 
 
+def spread_keys(df: DataFrame, key: str, keys: list[str], by: tuple[str, ...], tasks: int) -> DataFrame:
+    """Rows of each of the listed ``keys`` over ``tasks`` tasks, or as many as fill the cluster, of its own.
+
+    The tasks are numbered and not drawn by a hash, so that no two share one; a hash of the row's own
+    columns picks the one of its key, so a retried task gets the same rows.
+    """
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, tasks, -(-parallelism // len(keys)))
+    place = F.array_position(F.array(*[F.lit(k) for k in keys]), F.col(key)) - 1
+    slot = F.pmod(F.xxhash64(*by), F.lit(tasks))
+    return df.repartitionById(len(keys) * tasks, (place * tasks + slot).cast("int"))
+
+
 def write_by_country(
     df: DataFrame,
     path: str,
