@@ -35,7 +35,7 @@ def global_stats(scores: DataFrame) -> DataFrame:
         F.count("*").alias("rows"),
         F.min("sustainability_score").alias("low"),
         F.max("sustainability_score").alias("high"),
-        *[F.sum(u.cast("decimal(28,0)")).alias(f"sum_{c}") for c, u in units.items()],
+        *[numeric.exact_total(u).alias(f"sum_{c}") for c, u in units.items()],
         *[F.count(u).alias(f"n_{c}") for c, u in units.items()],
     )
 

@@ -262,7 +262,8 @@ def folded_scores(
     contexts = stage(term_contexts(terms, season, production, month), "term-contexts")
     countries = sorted(row.country for row in contexts.select("country").distinct().collect())
     scored = recipes.where(F.size("terms") > 0).count()
-    tasks = max(1, math.ceil(scored * len(countries) / ROWS_PER_TASK))
+    parallelism = matches.sparkSession.sparkContext.defaultParallelism
+    tasks = max(parallelism, math.ceil(scored * len(countries) / ROWS_PER_TASK))
     sums = recipe_countries(recipes.repartition(tasks, "recipeid"), contexts)
     if spread_countries and countries:
         sums = spread_keys(sums, "country", countries, ("recipeid",), math.ceil(scored / ROWS_PER_TASK))

@@ -1,7 +1,10 @@
+import re
+
 import pytest
 
 from conftest import plan
 from larder.operators import sustainability as su
+from larder.sources import writers
 
 MONTHS = {
     "tomato": range(6, 10), "strawberry": range(5, 8), "potato": range(7, 12),
@@ -112,3 +115,23 @@ def test_scores_need_one_shuffle_of_the_matches(matches, season, production):
     text = plan(su.sustainability_scores(matches, season, production))
     assert text.count("Exchange hashpartitioning") == 1
     assert "BroadcastHashJoin" in text and "Window" not in text and "NestedLoop" not in text
+
+
+def test_tasks_follow_the_rows_of_recipes_and_countries(monkeypatch, matches, season, production):
+    whole = sorted(map(tuple, su.sustainability_scores(matches, season, production).collect()))
+    monkeypatch.setattr(su, "ROWS_PER_TASK", 1)
+    sums = su.folded_scores(matches, season, production, spread_countries=True)
+    # Two recipes with a term and two countries: four tasks to sum, two for each country to write.
+    assert "hashpartitioning(recipeid" in plan(sums) and ", 4), REPARTITION_BY_NUM" in plan(sums)
+    assert sums.count() == 4
+    assert sorted(map(tuple, su.score_contexts(sums).collect())) == whole
+
+
+def test_stored_sums_unfold_to_the_scores_of_one_country(spark, tmp_path, matches, season, production):
+    writers.write_by_country(
+        su.folded_scores(matches, season, production, spread_countries=True), str(tmp_path / "g"), "country", ("recipeid",)
+    )
+    stored = su.score_contexts(spark.read.parquet(str(tmp_path / "g")))
+    plain = su.sustainability_scores(matches, season, production)
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, plain.collect()))
+    assert re.search(r"PartitionFilters: \[[^\]]*country", plan(stored.where("score_country = 'france' and score_month = 6")))
