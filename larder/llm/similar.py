@@ -1,14 +1,16 @@
-"""Groups of similar documents: wide SimHash prints, BK-trees per band, components.
+"""Groups of similar documents: wide SimHash prints, BK-trees per routing key, components.
 
 A print of 512 bits estimates the similarity of two texts' sets of five-word shingles: at a
 similarity of s a bit differs with chance acos(2s / (1 + s)) / pi, so 0.8 is met at some 78 bits.
-Pairs to compare agree on one of ``BANDS`` fixed choices of ``BAND_BITS`` bits. Distinct prints of a
-band's value form BK-trees; the trees of a value above ``TREE_NODES`` prints are handed to every slice
-of its probes, so no task holds more than two such parts and no link inside a band is lost.
-
-A band is met with chance (1 - p)^20 when a bit differs with chance p, at least one of 96 with chance
-0.96 at a similarity of 0.8 and above 0.999 from 0.9 on. Values hold a 2^20th of unrelated prints, so
-comparisons of those grow by the square of the rows divided by some 20,000.
+Pairs to compare agree on one of ``ROUTES`` keys, each of ``ROUTE_ROWS`` MinHash values of the same
+shingles. Distinct prints of a key form BK-trees; the trees of a key above ``TREE_NODES`` prints are
+handed to every slice of its probes, so no task holds more than two such parts and no link inside a
+key is lost.
+
+A key is shared with chance s^6, at least one of 16 with chance 0.99 at a similarity of 0.8 and above
+0.9999 from 0.9 on. Unrelated texts share no shingle and so no key, however many there are: what is
+compared follows from the copies. Prints whose texts are not at hand are routed by ``BANDS`` fixed
+choices of ``BAND_BITS`` bits; there unrelated prints meet, by the square of the rows.
 """
 
 from __future__ import annotations
@@ -27,9 +29,11 @@ SHINGLE = 5
 BITS = 512
 #: Differing bits of linked prints: similarity 0.8, and one and a half standard deviations of its estimate.
 RADIUS = 90
+ROUTES, ROUTE_ROWS = 16, 6
 BANDS, BAND_BITS = 96, 20
 _ROWS = 255
 _CHUNK = _ROWS * 64
+_ROUTE_CHUNK = 1024
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -62,7 +66,10 @@ def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
 
 def wide_print(text: str | None, shingle: int = SHINGLE) -> bytes:
     """``BITS`` bits, each set when more than half of the distinct shingles' values have it."""
-    hashes = shingle_hashes(text, shingle)
+    return _print(shingle_hashes(text, shingle))
+
+
+def _print(hashes: np.ndarray) -> bytes:
     if not len(hashes):
         return bytes(BITS // 8)
     lanes = np.arange(1, BITS // 64 + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)
@@ -77,10 +84,34 @@ def wide_print(text: str | None, shingle: int = SHINGLE) -> bytes:
     return np.packbits((2 * counts > len(hashes)).astype(np.uint8), bitorder="little").tobytes()
 
 
-def print_column(text: Column, shingle: int = SHINGLE) -> Column:
-    @F.pandas_udf("binary")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([wide_print(x, shingle) for x in texts], dtype=object)
+#: Odd factors; each orders the hashes in a way of its own.
+_FACTORS = _mixed(np.arange(1, ROUTES * ROUTE_ROWS + 1, dtype=np.uint64)) | np.uint64(1)
+
+
+def route_keys(hashes: np.ndarray) -> np.ndarray:
+    """``ROUTES`` longs, each of the least of the hashes in ``ROUTE_ROWS`` orders; none without a hash."""
+    if not len(hashes):
+        return np.zeros(0, np.int64)
+    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), _ROUTE_CHUNK):
+        least = np.minimum(least, (hashes[at : at + _ROUTE_CHUNK, None] * _FACTORS).min(axis=0))
+    keys = np.arange(1, ROUTES + 1, dtype=np.uint64)
+    for values in least.reshape(ROUTES, ROUTE_ROWS).T:
+        keys = _mixed(keys + values)
+    return keys.view(np.int64)
+
+
+def mark_column(text: Column, shingle: int = SHINGLE) -> Column:
+    """The print of a text and its routing keys, both from one pass over its shingles."""
+
+    @F.pandas_udf("print binary, keys array<long>")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        prints, keys = [], []
+        for x in texts:
+            hashes = shingle_hashes(x, shingle)
+            prints.append(_print(hashes))
+            keys.append(route_keys(hashes))
+        return pd.DataFrame({"print": pd.Series(prints, dtype=object), "keys": pd.Series(keys, dtype=object)})
 
     return of(text)
 
@@ -138,13 +169,16 @@ def _forest(tree_values: list[int], probes: list[int], radius: int) -> list[tupl
 
 
 def similar_links(prints: DataFrame, radius: int = RADIUS, tree_nodes: int = TREE_NODES) -> DataFrame:
-    """Rows (u, v) whose components are those of all links inside bands.
+    """Rows (u, v) whose components are those of all links inside routing keys.
 
-    ``prints`` has one distinct non-null binary column ``print`` and is a written table.
+    ``prints`` has a non-null binary column ``print`` and is a written table of distinct rows. Its column
+    ``keys`` holds routing keys; texts of other keys may have the same print, which then is compared
+    under all of them. Without that column the keys are those of the bit bands.
     """
-    keyed = prints.select("print", F.explode(band_keys(F.col("print"))).alias("key"))
-    # Written, so that Catalyst knows how few values are shared before prints move.
-    crowded = stage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared-bands")
+    keys = F.col("keys") if "keys" in prints.columns else band_keys(F.col("print"))
+    keyed = prints.select("print", F.explode(keys).alias("key"))
+    # Written, so that Catalyst knows how few keys are shared before prints move.
+    crowded = stage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared-keys")
     parts = F.ceil(F.col("n") / F.lit(tree_nodes)).cast("int")
     members = keyed.join(crowded, "key").select(
         "key", "print", parts.alias("parts"), F.pmod(F.xxhash64("print"), parts).cast("int").alias("own")
@@ -205,13 +239,13 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -
     marked = stage(
         docs.select(
             F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"),
-            print_column(F.col("text"), shingle).alias("print"),
+            mark_column(F.col("text"), shingle).alias("mark"),
             F.monotonically_increasing_id().alias("row"),
         ),
         "printed",
     )
-    rows = marked.select("print", "row", F.col("doc.doc_id").alias("id"))
-    prints = stage(rows.select("print").distinct(), "prints")
+    rows = marked.select("mark.print", "row", F.col("doc.doc_id").alias("id"))
+    prints = stage(marked.select("mark.print", "mark.keys").distinct(), "prints")
     roots = stage(components(similar_links(prints, radius)), "similar-roots")
     rooted = rows.join(roots, F.col("print") == F.col("node"), "left").select(
         F.coalesce("root", "print").alias("root"), F.struct(F.col("id").isNull().alias("none"), "id", "row").alias("at")

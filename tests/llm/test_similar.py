@@ -106,3 +106,52 @@ def test_empty_table_and_null_ids(spark):
     assert similar.deduplicate(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     df = spark.createDataFrame([(None, "a b"), (None, "a b"), (None, "c d")], "doc_id long, text string")
     assert sorted(r["text"] for r in similar.deduplicate(df).collect()) == ["a b", "c d"]
+
+
+def test_routing_keys_meet_similar_texts_and_no_others():
+    """Recall of pairs within the radius by shared keys; unrelated texts share none, so candidates grow with the copies."""
+    rng = random.Random(11)
+    found, all_ = {}, {}
+    for _ in range(400):
+        words = prose(rng, 300)
+        other = edited(rng, words, rng.randrange(1, 9))
+        s = likeness(words, other)
+        band = "high" if s >= 0.9 else "near" if s >= 0.8 else "low"
+        a, b = (" ".join(w) for w in (words, other))
+        differ = np.unpackbits(np.frombuffer(similar.wide_print(a), np.uint8) ^ np.frombuffer(similar.wide_print(b), np.uint8))
+        shared = (similar.route_keys(similar.shingle_hashes(a)) == similar.route_keys(similar.shingle_hashes(b))).any()
+        found[band] = found.get(band, 0) + (shared and differ.sum() <= similar.RADIUS)
+        all_[band] = all_.get(band, 0) + 1
+    assert all_["high"] > 50 and all_["near"] > 50
+    assert found["high"] / all_["high"] >= 0.99
+    assert found["near"] / all_["near"] >= 0.93
+    keys = np.concatenate([similar.route_keys(similar.shingle_hashes(" ".join(prose(rng, 40)))) for _ in range(4000)])
+    assert len(np.unique(keys)) == len(keys) == 4000 * similar.ROUTES
+    assert len(similar.route_keys(similar.shingle_hashes(" "))) == 0
+
+
+def test_unrelated_texts_give_no_shared_keys(spark, monkeypatch):
+    rng = random.Random(17)
+    rows = [(i, " ".join(prose(rng, 30))) for i in range(1500)]
+    rows += [(5000 + i, rows[i][1] + " end") for i in range(5)]
+    written = {}
+
+    def kept(df, name, *rest):
+        written[name] = table = staged(df, name, *rest)
+        return table
+
+    staged = similar.stage
+    monkeypatch.setattr(similar, "stage", kept)
+    left = {r["doc_id"] for r in similar.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert left == set(range(1500))
+    # Bit bands would have some hundred pairs of unrelated prints to compare.
+    assert written["shared-keys"].count() <= 5 * similar.ROUTES
+
+
+def test_prints_alone_are_routed_by_bit_bands(spark):
+    rng = random.Random(19)
+    words = prose(rng, 200)
+    texts = [" ".join(words), " ".join(edited(rng, words, 1)), " ".join(prose(rng, 200))]
+    prints = spark.createDataFrame([(bytearray(similar.wide_print(x)),) for x in texts], "print binary")
+    links = [{bytes(r["u"]), bytes(r["v"])} for r in similar.similar_links(prints).collect()]
+    assert links and all(pair == {similar.wide_print(x) for x in texts[:2]} for pair in links)
