@@ -7,10 +7,11 @@ shingles. Distinct prints of a key form BK-trees; the trees of a key above ``TRE
 handed to every slice of its probes, so no task holds more than two such parts and no link inside a
 key is lost.
 
-A key is shared with chance s^6, at least one of 16 with chance 0.99 at a similarity of 0.8 and above
-0.9999 from 0.9 on. Unrelated texts share no shingle and so no key, however many there are: what is
-compared follows from the copies. Prints whose texts are not at hand are routed by ``BANDS`` fixed
-choices of ``BAND_BITS`` bits; there unrelated prints meet, by the square of the rows.
+A key is shared with chance s^4, at least one of 24 with chance 0.96 at a similarity of 0.6, above
+0.998 from 0.7 and above 0.9999 from 0.8 on. Unrelated texts share no shingle and so no key, however
+many there are: what is compared follows from the copies. Prints whose texts are not at hand are
+routed by ``BANDS`` fixed choices of ``BAND_BITS`` bits; there unrelated prints meet, by the square
+of the rows.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ SHINGLE = 5
 BITS = 512
 #: Differing bits of linked prints: similarity 0.8, and one and a half standard deviations of its estimate.
 RADIUS = 90
-ROUTES, ROUTE_ROWS = 16, 6
+ROUTES, ROUTE_ROWS = 24, 4
 BANDS, BAND_BITS = 96, 20
 _ROWS = 255
 _CHUNK = _ROWS * 64
