@@ -1,6 +1,6 @@
 """Sustainability score of recipes for every country and month.
 
-Months travel as a 12-bit mask and as 12 sums per row, so the large intermediate result has one
+Months travel as a 12-bit mask and as sums of two months each, so the large intermediate result has one
 row per recipe, term and country; the twelve months are unfolded only in the output.
 """
 
@@ -19,6 +19,7 @@ SHARE_PLACES = 12
 #: Rows (recipe, country) that one task sums or writes, whatever the number of recipes.
 ROWS_PER_TASK = 150_000
 MONTH_NUMBERS = tuple(range(1, 13))
+PAIRED_MONTHS = MONTH_NUMBERS[::2]
 
 
 def seasonality_reference(season: DataFrame) -> DataFrame:
@@ -138,6 +139,22 @@ def in_month(months: Column, month: int) -> Column:
     return months.bitwiseAND(F.lit(1 << (month - 1))) != 0
 
 
+def paired(months: Column, month: int) -> Column:
+    """One long for a month and the next: their bits of the mask as a 1 in its lower and upper 32 bits.
+
+    A recipe has fewer than 2^31 terms, the length of an array, so the sum of neither reaches the other.
+    """
+    low, high = (F.shiftright(months, m - 1).bitwiseAND(F.lit(1)).cast("long") for m in (month, month + 1))
+    return low.bitwiseOR(F.shiftleft(high, 32))
+
+
+def unpaired(kind: str, month: int) -> Column:
+    """The sum of one month out of the sum that it shares."""
+    if month % 2:
+        return F.col(f"{kind}{month}_{month + 1}").bitwiseAND(F.lit((1 << 32) - 1))
+    return F.shiftright(F.col(f"{kind}{month - 1}_{month}"), 32)
+
+
 def ingredient_scores(contexts: DataFrame) -> DataFrame:
     """Score of each term for each country and month."""
     month = F.explode(F.array(*[
@@ -162,7 +179,10 @@ def ingredient_scores(contexts: DataFrame) -> DataFrame:
 
 
 def recipe_countries(recipes: DataFrame, contexts: DataFrame) -> DataFrame:
-    """Sums per recipe and country: availability, and per month seasonal and positive terms."""
+    """Sums per recipe and country: availability, and per month seasonal and positive terms.
+
+    Two months share a sum (see ``paired``), which halves what is added up, exchanged and written.
+    """
     rows = recipes.where(F.size("terms") > 0).select(
         "recipeid",
         "total_ingredient_tokens",
@@ -171,7 +191,7 @@ def recipe_countries(recipes: DataFrame, contexts: DataFrame) -> DataFrame:
         F.size("terms").cast("long").alias("recognized_ingredient_count"),
         F.explode("terms").alias("matched_term"),
     ).join(contexts, "matched_term")
-    months = F.col("months")
+    months = F.coalesce("months", F.lit(0))
     positive = F.col("availability_score") > 0
     # All recipe figures ride along as aggregates of equal values, so the grouping key stays
     # (recipeid, country) and the rows of one recipe are combined before any exchange.
@@ -182,9 +202,10 @@ def recipe_countries(recipes: DataFrame, contexts: DataFrame) -> DataFrame:
     sums = [
         F.sum(numeric.scaled_long(F.col("availability_score"), SHARE_PLACES)).alias("available")
     ]
-    for m in MONTH_NUMBERS:
-        sums.append(F.count_if(in_month(months, m)).alias(f"s{m}"))
-        sums.append(F.count_if(in_month(months, m) | positive).alias(f"p{m}"))
+    for m in PAIRED_MONTHS:
+        seasonal = paired(months, m)
+        sums.append(F.sum(seasonal).alias(f"s{m}_{m + 1}"))
+        sums.append(F.sum(F.when(positive, F.lit((1 << 32) + 1)).otherwise(seasonal)).alias(f"p{m}_{m + 1}"))
     return rows.groupBy("recipeid", "country").agg(
         *[F.max(c).alias(c) for c in keep], *sums
     )
@@ -199,8 +220,8 @@ def score_contexts(
         F.explode(F.array(*[
             F.struct(
                 F.lit(m).alias("month"),
-                F.col(f"s{m}").alias("seasonal"),
-                F.col(f"p{m}").alias("positive"),
+                unpaired("s", m).alias("seasonal"),
+                unpaired("p", m).alias("positive"),
             )
             for m in months
         ])),
