@@ -9,6 +9,10 @@ from pyspark.sql import Column, functions as F
 from larder import constants as K
 
 
+#: ASCII punctuation and white space but the blank, for a character class; single characters make it one lookup.
+_BREAKS = r"""!"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~\t\n\x0B\f\r"""
+
+
 def collapse_blanks(value: Column) -> Column:
     return F.regexp_replace(value, r"\s+", " ")
 
@@ -18,12 +22,16 @@ def strip_blanks(value: Column) -> Column:
 
 
 def clean_text(value: Column) -> Column:
-    """Lower-case words separated by single blanks; vector literals and punctuation removed."""
-    text = strip_blanks(F.lower(F.coalesce(value, F.lit(""))))
-    text = F.regexp_replace(text, r"^c\s*\(", "")
-    text = F.regexp_replace(text, r"\)$", "")
-    text = F.regexp_replace(text, r"\p{Punct}", " ")
-    return F.trim(collapse_blanks(text))
+    """Lower-case words separated by single blanks; vector literals and punctuation removed.
+
+    One pass finds the opening of a vector literal, and runs of blanks and punctuation; a lone blank
+    between two words is left as it is. The closing bracket is one of those runs, unless a line end
+    that is no blank may follow it.
+    """
+    text = F.lower(F.coalesce(value, F.lit("")))
+    line_ends = text.contains("\u0085") | text.contains("\u2028") | text.contains("\u2029")
+    text = F.when(line_ends, F.regexp_replace(strip_blanks(text), r"\)$", "")).otherwise(text)
+    return F.trim(F.regexp_replace(text, rf"^\s*c\s*\(|[{_BREAKS}][{_BREAKS} ]*| [{_BREAKS} ]+", " "))
 
 
 def key_text(value: Column) -> Column:
@@ -36,7 +44,9 @@ def duration_minutes(value: Column) -> Column:
     pattern = r"^PT(?:(\d+)H)?(?:(\d+)M)?"
 
     def part(index: int) -> Column:
-        return F.coalesce(F.regexp_extract(value, pattern, index).try_cast("long"), F.lit(0))
+        # A missing part is no number, and a cast that fails costs more than all the rest.
+        digits = F.nullif(F.regexp_extract(value, pattern, index), F.lit(""))
+        return F.coalesce(digits.try_cast("long"), F.lit(0))
 
     return part(1) * F.lit(60) + part(2)
 

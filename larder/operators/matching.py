@@ -242,7 +242,7 @@ def match_ingredients(
     """Token-level match table, ready to be written."""
     vocabulary = stage(build_vocabulary(season, production), "vocabulary")
     index = stage(ngram_index(vocabulary), "ngram-index")
-    best = match_tokens(distinct_tokens(recipes), vocabulary, index)
+    best = match_tokens(stage(distinct_tokens(recipes), "distinct-tokens"), vocabulary, index)
     return decide_matches(best, taxonomy)
 
 

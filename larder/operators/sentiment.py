@@ -17,6 +17,8 @@ from larder.functions import numeric, text
 UNIT_PLACES = 9
 #: Lexicon entries (a word and a number) that are broadcast; published lexicons have under 10,000.
 BROADCAST_ENTRIES = 500_000
+#: Words on either side of a hit that the rules look at.
+WORDS_BEFORE, WORDS_BEHIND = 3, 2
 
 
 @dataclass(frozen=True)
@@ -39,10 +41,12 @@ class Hit:
     at: Column
     valence: Column
     rules: SentimentRules
+    #: Position of the first of ``words``, which may be only those around the hit.
+    first: Column
 
     def word(self, distance: int) -> Column:
         """The word ``distance`` before this one (negative: behind); null beyond the text."""
-        return F.get(self.words, self.at - F.lit(distance))
+        return F.get(self.words, self.at - self.first - F.lit(distance))
 
     def boost(self, distance: int) -> Column:
         word = self.word(distance)
@@ -163,15 +167,24 @@ def _words(reviews: DataFrame, keys: list[str], review: str, rules: SentimentRul
 def _hits_beside_words(reviews: DataFrame, entries: DataFrame, keys: list[str], rules: SentimentRules) -> DataFrame:
     """(keys, hits) with a lexicon that fits into every task: words that miss it end in the join.
 
-    Neighbours are looked up in the word array that stays beside the exploded words, for hits only.
+    Of the word array that stays beside the exploded words, a hit takes the six words around it along.
+    What they say is worked out behind the exchange: in the step that meets every word it would make
+    the generated method too long to be compiled.
     """
     rows = reviews.select(*keys, "_words", "_contrast_at", F.posexplode_outer("_words").alias("_pos", "_word"))
     rows = rows.join(F.broadcast(entries), "_word", "left")
     # One row per review is kept, with a hit or without.
     rows = rows.where(F.col("_valence").isNotNull() | F.coalesce(F.col("_pos") == 0, F.lit(True)))
-    hit = Hit(F.col("_words"), F.col("_pos"), F.col("_valence"), rules).struct(F.col("_contrast_at"))
-    rows = rows.select(*keys, F.when(F.col("_valence").isNotNull(), hit).alias("_hit"))
-    return rows.groupBy(*keys).agg(F.sort_array(F.collect_list("_hit")).alias("_hits"))
+    first = F.greatest(F.col("_pos") - F.lit(WORDS_BEFORE), F.lit(0))
+    around = F.slice("_words", first + F.lit(1), F.lit(WORDS_BEFORE + 1 + WORDS_BEHIND))
+    found = F.struct("_pos", "_valence", "_contrast_at", first.alias("_first"), around.alias("_around"))
+    rows = rows.select(*keys, F.when(F.col("_valence").isNotNull(), found).alias("_hit"))
+
+    def with_context(f: Column) -> Column:
+        return Hit(f["_around"], f["_pos"], f["_valence"], rules, f["_first"]).struct(f["_contrast_at"])
+
+    grouped = rows.groupBy(*keys).agg(F.collect_list("_hit").alias("_found"))
+    return grouped.select(*keys, F.sort_array(F.transform("_found", with_context)).alias("_hits"))
 
 
 def _hits_shuffled(reviews: DataFrame, entries: DataFrame, keys: list[str], rules: SentimentRules) -> DataFrame:
@@ -183,7 +196,7 @@ def _hits_shuffled(reviews: DataFrame, entries: DataFrame, keys: list[str], rule
     empty = F.array().cast("array<struct<_pos:int,_valence:double>>")
 
     def with_context(f: Column) -> Column:
-        return Hit(F.col("_words"), f["_pos"], f["_valence"], rules).struct(F.col("_contrast_at"))
+        return Hit(F.col("_words"), f["_pos"], f["_valence"], rules, F.lit(0)).struct(F.col("_contrast_at"))
 
     joined = reviews.join(sides, same, "left")
     return joined.select(*keys, F.transform(F.coalesce("_found", empty), with_context).alias("_hits"))

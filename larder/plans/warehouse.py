@@ -90,7 +90,12 @@ class Warehouse:
         )
 
     def shipped(self) -> DataFrame:
-        """Line items with the words of the part and the country of the supplier."""
+        """Line items with the words of the part and the country of the supplier.
+
+        Names are split once for each part; ``unsplit`` keeps the name that has no second word.
+        """
+        words = F.split("p_name", " ")
+        noun = F.get(words, 1)
         return (
             self.driver("lineitem")
             .select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
@@ -103,21 +108,24 @@ class Warehouse:
                 F.col("s_nationkey") == F.col("n_nationkey"),
             )
             .join(
-                self.driver("part").select("p_partkey", "p_name", "p_type"),
+                self.driver("part").select(
+                    "p_partkey", "p_type", words.alias("words"), noun.alias("noun"),
+                    F.when(noun.isNull(), F.col("p_name")).alias("unsplit"),
+                ),
                 F.col("l_partkey") == F.col("p_partkey"),
             )
         )
 
     def bronze_seasonality(self) -> DataFrame:
         """A product is in season in the months whose quantity is above the year's mean."""
-        orders = self.driver("orders").select("o_orderkey", "o_orderdate")
+        orders = self.driver("orders").select("o_orderkey", F.month("o_orderdate").alias("number"))
         monthly = (
             self.shipped()
             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             # Sums of numbers are hashed; a least text beside them would have all rows sorted.
             .groupBy(
-                F.split("p_name", " ")[1].alias("product_name"),
-                F.month("o_orderdate").alias("number"),
+                F.coalesce("noun", F.split("unsplit", " ")[1]).alias("product_name"),
+                "number",
                 F.col("n_name").alias("country"),
                 "p_type",
             )
@@ -138,7 +146,7 @@ class Warehouse:
         )
 
     def bronze_production(self) -> DataFrame:
-        words = F.concat(F.split("p_name", " "), F.array(F.lit("goods, total")))
+        words = F.concat("words", F.array(F.lit("goods, total")))
         summed = (
             self.shipped()
             .select(
@@ -219,7 +227,8 @@ class Warehouse:
         return self._table(
             "best_terms",
             lambda: matching.match_tokens(
-                matching.distinct_tokens(self.recipes()), self.vocabulary(), self.index()
+                stage(matching.distinct_tokens(self.recipes()), "distinct-tokens"),
+                self.vocabulary(), self.index(),
             ),
         )
 
